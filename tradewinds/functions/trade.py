@@ -27,39 +27,36 @@ def trade_direction(label) -> Column:
     )
 
 
-def hash_uniform(text: Column) -> Column:
-    """A uniform number in [0, 1) from the first 32 bits of md5; equal in any engine."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(float(2 ** 32))
+def hash_uniform(text: str) -> Column:
+    """A uniform number in [0, 1) from the first 32 bits of md5 of a SQL string expression; equal in any engine."""
+    return F.expr(f"cast(conv(substring(md5({text}), 1, 8), 16, 10) as bigint) / 4294967296D")
 
 
-def assign_leverage(trade_id="trade_id", size="size_usd", ts="ts") -> Column:
-    """Weighted leverage choice per size tier, fixed by the trade id (or the time when the id is NULL)."""
-    seed = F.coalesce(as_col(trade_id).cast("string"), F.date_format(as_col(ts), vocab.FILL_TIME_FORMAT), F.lit("nan"))
-    u = hash_uniform(seed)
+def leverage_uniform(trade_id="trade_id", ts="ts") -> Column:
+    """The uniform number that fixes a trade's leverage; the time stands in for a missing id."""
+    return hash_uniform(
+        f"coalesce(cast({trade_id} as string), date_format({ts}, '{vocab.FILL_TIME_FORMAT}'), 'nan')")
+
+
+def leverage_for(u: str, size: str = "size_usd") -> Column:
+    """Weighted leverage choice of the size tier at the uniform number in column ``u``.
+
+    ``u`` is a column name, so the hash is computed once per row.
+    """
 
     def pick(choices, weights):
-        bounds = [round(b, 10) for b in accumulate(weights)]
-        expr = F.when(u < bounds[0], choices[0])
-        for bound, choice in zip(bounds[1:-1], choices[1:-1]):
-            expr = expr.when(u < bound, choice)
-        return expr.otherwise(choices[-1])
-
-    *tiers, (_, last_choices, last_weights) = vocab.LEVERAGE_TIERS
-    (floor0, choices0, weights0), *rest = tiers
-    expr = F.when(as_col(size) > floor0, pick(choices0, weights0))
-    for floor, choices, weights in rest:
-        expr = expr.when(as_col(size) > floor, pick(choices, weights))
-    return expr.otherwise(pick(last_choices, last_weights)).cast("int")
-
-
-def leverage_bucket(leverage="leverage") -> Column:
-    *bounded, (_, last) = vocab.LEVERAGE_BUCKETS
-    c = as_col(leverage)
-    (top0, label0), *rest = bounded
-    expr = F.when(c <= top0, label0)
-    for top, label in rest:
-        expr = expr.when(c <= top, label)
-    return expr.otherwise(last)
+        bounds = [round(b, 10) for b in accumulate(weights)][:-1]
+        cases = " ".join(f"when {u} < {bound}D then {choice}" for bound, choice in zip(bounds, choices))
+        return f"case {cases} else {choices[-1]} end"
+
+    tiers = [(floor, pick(choices, weights)) for floor, choices, weights in vocab.LEVERAGE_TIERS]
+    cases = " ".join(f"when {size} > {floor} then {case}" for floor, case in tiers if floor is not None)
+    return F.expr(f"case {cases} else {tiers[-1][1]} end")
+
+
+def leverage_bucket(leverage: str = "leverage") -> Column:
+    cases = " ".join(f"when {leverage} <= {top} then '{label}'" for top, label in vocab.LEVERAGE_BUCKETS if top)
+    return F.expr(f"case {cases} else '{vocab.LEVERAGE_BUCKETS[-1][1]}' end")
 
 
 def pnl_pct(pnl="closed_pnl", size="size_usd") -> Column:

@@ -109,7 +109,7 @@ def leverage_binned(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) -> DataF
         {"median_pnl": ("closed_pnl", 0.5)}, max_rows)
 
 
-def _trader_aggs() -> list:
+def trader_aggs() -> list:
     return [
         F.sum("closed_pnl").alias("total_pnl"),
         F.avg("closed_pnl").alias("avg_pnl"),
@@ -122,11 +122,11 @@ def _trader_aggs() -> list:
 
 
 def trader_by_sentiment(silver: DataFrame) -> DataFrame:
-    return realized_trades(silver).groupBy("account", "sentiment_class").agg(*_trader_aggs())
+    return realized_trades(silver).groupBy("account", "sentiment_class").agg(*trader_aggs())
 
 
 def trader_overall(silver: DataFrame) -> DataFrame:
-    return realized_trades(silver).groupBy("account").agg(*_trader_aggs()).orderBy(F.desc("total_pnl"), "account")
+    return realized_trades(silver).groupBy("account").agg(*trader_aggs()).orderBy(F.desc("total_pnl"), "account")
 
 
 def leverage_correlation(silver: DataFrame, min_rows: int = 5) -> DataFrame:

@@ -73,9 +73,10 @@ def join_sentiment(fills: DataFrame, sentiment: DataFrame) -> DataFrame:
 
 
 def derive_trade_columns(df: DataFrame) -> DataFrame:
-    out = df.withColumns({
+    # the uniform number gets its own projection so that the tiers below do not hash again
+    out = df.withColumn("_u", t.leverage_uniform()).withColumns({
         "trade_direction": t.trade_direction("direction"),
-        "leverage": t.assign_leverage(),
+        "leverage": t.leverage_for("_u"),
         "pnl_pct": t.pnl_pct(),
         "is_closing_trade": t.is_closing(),
         "win_flag": t.win_flag(),
@@ -83,7 +84,7 @@ def derive_trade_columns(df: DataFrame) -> DataFrame:
     return out.withColumns({
         "leverage_bucket": t.leverage_bucket("leverage"),
         "roe": F.col("pnl_pct") * F.col("leverage"),
-    })
+    }).drop("_u")
 
 
 def silver_trades(fills: DataFrame, sentiment: DataFrame) -> DataFrame:

@@ -8,30 +8,32 @@ ties such as ...5 are common in averages of cents, binary ties are not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 _GRID = 1048576.0
-
-
-def real_col(c: Column, grid: float = _GRID) -> Column:
-    return F.when(F.abs(c) < 1e12, F.floor(c * grid + 0.5) / grid).otherwise(c)
+_COARSE = 64.0
 
 
 def steady(df: DataFrame, real=(), pnl=(), money=(), coarse=()) -> DataFrame:
     """Round the named columns in place, keeping the column order."""
+
+    def grid(c, g):
+        return f"case when abs({c}) < 1e12D then floor({c} * {g}D + 0.5D) / {g}D else {c} end as {c}"
+
     out = []
     for name in df.columns:
-        c = F.col(f"`{name}`")
+        c = f"`{name}`"
         if name in real:
-            c = real_col(c).alias(name)
+            out.append(grid(c, _GRID))
         elif name in coarse:
-            c = real_col(c, 64.0).alias(name)
+            out.append(grid(c, _COARSE))
         elif name in pnl:
-            c = F.round(c, 4).alias(name)
+            out.append(f"round({c}, 4) as {c}")
         elif name in money:
-            c = F.round(c, 2).alias(name)
-        out.append(c)
-    return df.select(*out)
+            out.append(f"round({c}, 2) as {c}")
+        else:
+            out.append(c)
+    return df.selectExpr(*out)
 
 
 def real(expr: str, grid: float = _GRID) -> str:
@@ -40,7 +42,7 @@ def real(expr: str, grid: float = _GRID) -> str:
 
 
 def coarse(expr: str) -> str:
-    return real(expr, 64.0)
+    return real(expr, _COARSE)
 
 
 def pnl(expr: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradewinds.functions import risk as r
+from tradewinds.functions import risk as r, sizing
 from tradewinds.operators import curves, ordered, regimes, risk, silver as sv
 from tradewinds.plans import oracle, testdata as td
 from tradewinds.plans.catalog import query
@@ -232,8 +232,6 @@ select trade_id, size_usd * 0.02e0 as fixed_fraction,
        5000e0 * ({MULTIPLIER_SQL}) as sentiment_adjusted
 from realized"""))
 def position_sizes(spark, sf):
-    from tradewinds.functions import sizing
-
     out = realized(spark, sf).select(
         "trade_id",
         sizing.size_fixed_fractional("size_usd").alias("fixed_fraction"),
@@ -272,10 +270,21 @@ def rolling_volatility(spark, sf):
     return _steady_daily(regimes.rolling_volatility(regimes.daily_macro(silver(spark, sf))))
 
 
+# returns of this data are whole percents, so daily means sit exactly on the rule thresholds:
+# the rules are compared on rounded means
+STEADY_CTE = f"""
+steady_daily as ({DAILY_BODY}, {real('rolling_volatility')} as rolling_volatility from daily)"""
+
+
+def ruled_days(spark, sf):
+    daily = _steady_daily(regimes.rolling_volatility(regimes.daily_macro(silver(spark, sf))))
+    return daily.withColumn("market_regime", sizing.regime_rule())
+
+
 @query("regime_rules", oracle.on_silver(
-    f"{DAILY_BODY}, {real('rolling_volatility')} as rolling_volatility, {REGIME_SQL} as market_regime from daily", DAILY_CTE))
+    f"select *, {REGIME_SQL} as market_regime from steady_daily", DAILY_CTE, STEADY_CTE))
 def regime_rules(spark, sf):
-    return _steady_daily(regimes.regimes_by_rule(silver(spark, sf)))
+    return ruled_days(spark, sf)
 
 
 @query("regime_kmeans")
@@ -284,7 +293,6 @@ def regime_kmeans(spark, sf):
 
 
 @query("latest_row", oracle.on_silver(
-    f"{DAILY_BODY}, {real('rolling_volatility')} as rolling_volatility, {REGIME_SQL} as market_regime "
-    "from daily order by date desc limit 1", DAILY_CTE))
+    f"select *, {REGIME_SQL} as market_regime from steady_daily order by date desc limit 1", DAILY_CTE, STEADY_CTE))
 def latest_row(spark, sf):
-    return _steady_daily(regimes.latest_row(regimes.regimes_by_rule(silver(spark, sf))))
+    return regimes.latest_row(ruled_days(spark, sf))

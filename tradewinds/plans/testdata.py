@@ -23,19 +23,24 @@ THEMES = {
 IMPORTANCES = {"leverage": 0.2, "size_usd": 0.3, "sentiment_score": 0.25, "hour": 0.1, "is_long": 0.05}
 
 
+_OPENED: dict[tuple[SparkSession, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """Open a table once per session, so that its footer is read once; the rows stay lazy."""
+    path = f"{sf}/{name}.parquet"
+    if (spark, path) not in _OPENED:
+        _OPENED[(spark, path)] = spark.read.parquet(path)
+    return _OPENED[(spark, path)]
 
 
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders")
-    daily = orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(
-        (F.sum("o_custkey") % 101).cast("int").alias("sentiment_score"))
-    s = F.col("sentiment_score")
-    return daily.withColumn(
-        "sentiment_class",
-        F.when(s < 25, "Extreme Fear").when(s <= 45, "Fear").when(s < 55, "Neutral")
-        .when(s <= 75, "Greed").otherwise("Extreme Greed"))
+    daily = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(
+        F.expr("cast(sum(o_custkey) % 101 as int)").alias("sentiment_score"))
+    return daily.selectExpr("*", """
+        case when sentiment_score < 25 then 'Extreme Fear' when sentiment_score <= 45 then 'Fear'
+             when sentiment_score < 55 then 'Neutral' when sentiment_score <= 75 then 'Greed'
+             else 'Extreme Greed' end as sentiment_class""")
 
 
 def fills(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,29 +49,28 @@ def fills(spark: SparkSession, sf: str) -> DataFrame:
     ``fill_seq`` is a scalar tiebreak hashed from the columns that identify a
     line item, so no global row number is needed to order equal times.
     """
-    li = table(spark, sf, "lineitem")
-    joined = li.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    cents = lambda c: F.round(F.col(c) * 100).cast("bigint")
-    identity = F.concat_ws(
-        "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents("l_extendedprice"),
-        F.col("l_quantity").cast("bigint"), cents("l_discount"), cents("l_tax"))
-    labels = ["Buy", "Open Long", "Close Long", "Short > Long", "Sell", "Open Short", "Close Short", "Long > Short",
-              "Liquidated Isolated Short", "Spot Dust Conversion"]
-    slot = (F.col("l_orderkey") + F.col("l_linenumber")) % 11
-    direction = F.when(slot == 0, labels[0])
-    for i, label in enumerate(labels[1:], 1):
-        direction = direction.when(slot == i, label)
-    return joined.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trade_id"),
-        F.conv(F.substring(F.md5(identity), 1, 15), 16, 10).cast("bigint").alias("fill_seq"),
-        F.concat(F.lit("acct_"), (F.col("o_custkey") % 300).cast("string")).alias("account"),
-        F.col("p_brand").alias("coin"),
-        F.col("p_retailprice").alias("execution_price"),
-        F.col("l_extendedprice").alias("size_usd"),
-        (cents("l_extendedprice") * (cents("l_tax") + 2 - cents("l_discount")) / F.lit(10000.0)).alias("closed_pnl"),
-        direction.otherwise("Settlement").alias("direction"),
-        (F.col("l_shipdate") + F.make_interval(hours=(F.col("l_orderkey") % 24).cast("int"))).alias("ts"))
+    def cents(c):
+        return f"cast(floor({c} * 100 + 0.5D) as bigint)"
+
+    joined = table(spark, sf, "lineitem").join(
+        table(spark, sf, "orders"), F.expr("l_orderkey = o_orderkey")).join(
+        table(spark, sf, "part"), F.expr("l_partkey = p_partkey"))
+    return joined.selectExpr(
+        "*", f"{cents('l_extendedprice')} as _price", f"{cents('l_discount')} as _discount", f"{cents('l_tax')} as _tax",
+    ).selectExpr(
+        "l_orderkey * 10 + l_linenumber as trade_id",
+        """cast(conv(substring(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, _price,
+             cast(l_quantity as bigint), _discount, _tax)), 1, 15), 16, 10) as bigint) as fill_seq""",
+        "concat('acct_', cast(o_custkey % 300 as string)) as account",
+        "p_brand as coin",
+        "p_retailprice as execution_price",
+        "l_extendedprice as size_usd",
+        "_price * (_tax + 2 - _discount) / 10000D as closed_pnl",
+        """case (l_orderkey + l_linenumber) % 11
+             when 0 then 'Buy' when 1 then 'Open Long' when 2 then 'Close Long' when 3 then 'Short > Long'
+             when 4 then 'Sell' when 5 then 'Open Short' when 6 then 'Close Short' when 7 then 'Long > Short'
+             when 8 then 'Liquidated Isolated Short' when 9 then 'Spot Dust Conversion' else 'Settlement' end as direction""",
+        "l_shipdate + make_interval(0, 0, 0, 0, cast(l_orderkey % 24 as int)) as ts")
 
 
 def bronze_fills(spark: SparkSession, sf: str) -> DataFrame:
