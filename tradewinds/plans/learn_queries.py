@@ -1 +1,174 @@
-"""To come."""
+"""Learning queries: segments, classifier, metrics, attribution."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tradewinds.operators import learn, silver as sv
+from tradewinds.plans import oracle, testdata as td
+from tradewinds.plans.catalog import query
+from tradewinds.plans.compare import real, steady
+from tradewinds.plans.trade_queries import TRADER_SQL, silver
+
+# ---- segments ---------------------------------------------------------------
+
+
+@query("trader_features", oracle.on_silver(f"""
+select account, total_pnl, win_rate, avg_leverage, avg_trade_size, trade_count,
+       case when profit_factor is null or isnan(profit_factor) then 1e0 when isinf(profit_factor) then 100e0 else profit_factor end as profit_factor,
+       {real("coalesce(nullif(long_share, 0), 0.5e0)")} as long_ratio
+from (select account, {TRADER_SQL}, avg(case when trade_direction = 'Long' then 1e0 else 0e0 end) as long_share
+      from realized group by account)"""))
+def trader_features(spark, sf):
+    return steady(learn.trader_features(silver(spark, sf)), pnl=["total_pnl"],
+                  real=["win_rate", "avg_leverage", "avg_trade_size", "profit_factor", "long_ratio"])
+
+
+def segments(spark, sf):
+    return learn.trader_segments(learn.trader_features(silver(spark, sf)))
+
+
+@query("trader_segments")
+def trader_segments(spark, sf):
+    return segments(spark, sf)
+
+
+@query("segment_summary")
+def segment_summary(spark, sf):
+    return learn.segment_summary(segments(spark, sf))
+
+
+# ---- split ------------------------------------------------------------------
+
+UNIFORM_SQL = "cast('0x' || substr(md5(cast(fill_seq as varchar)), 1, 8) as bigint) / 4294967296e0"
+
+
+@query("stratified_split", oracle.on_silver(
+    f"select fill_seq, win_flag, {UNIFORM_SQL} < 0.3e0 as is_test from realized"))
+def stratified_split(spark, sf):
+    rows = sv.realized_trades(silver(spark, sf)).select("fill_seq", "win_flag")
+    return learn.stratified_split(rows)
+
+
+@query("stratified_split_exact", oracle.on_silver(f"""
+select fill_seq, win_flag, i <= cast(round(n * 0.3e0) as bigint) as is_test
+from (select fill_seq, win_flag, row_number() over (partition by win_flag order by {UNIFORM_SQL}, fill_seq) as i,
+             count(*) over (partition by win_flag) as n from realized)"""))
+def stratified_split_exact(spark, sf):
+    rows = sv.realized_trades(silver(spark, sf)).select("fill_seq", "win_flag")
+    return learn.stratified_split_exact(rows).select("fill_seq", "win_flag", "is_test")
+
+
+# ---- metrics on given scores ------------------------------------------------
+
+SCORED_CTE = """
+scored as (
+  select model, win_flag, s as probability, case when s >= 0.5e0 then 1 else 0 end as prediction
+  from (select 'by leverage' as model, win_flag, 1e0 / leverage as s from realized
+        union all select 'by mood', win_flag, sentiment_score / 100e0 from realized
+        union all select 'by hour', win_flag, hour / 24e0 from realized)),
+negatives as (
+  select model, probability, sum(pos) as pos, sum(neg) as neg,
+         sum(sum(neg)) over (partition by model order by probability rows between unbounded preceding and current row) as upto
+  from (select model, probability, win_flag as pos, 1 - win_flag as neg from scored) group by model, probability),
+auc as (select model, sum(pos * (upto - neg / 2e0)) / (sum(pos) * 1e0 * sum(neg)) as roc_auc from negatives group by model),
+counts as (
+  select model, count(*) filter (win_flag = 0 and prediction = 0) as tn, count(*) filter (win_flag = 0 and prediction = 1) as fp,
+         count(*) filter (win_flag = 1 and prediction = 0) as fn, count(*) filter (win_flag = 1 and prediction = 1) as tp
+  from scored group by model),
+comparison as (
+  select model, (tp + tn) * 1e0 / (tp + tn + fp + fn) as accuracy, coalesce(tp * 1e0 / nullif(tp + fp, 0), 0e0) as precision,
+         coalesce(tp * 1e0 / nullif(tp + fn, 0), 0e0) as recall, coalesce(2e0 * tp / nullif(2 * tp + fp + fn, 0), 0e0) as f1_score,
+         roc_auc, tn, fp, fn, tp from counts join auc using (model))"""
+METRIC_SQL = "select model, " + ", ".join(
+    f"{real(c)} as {c}" for c in ("accuracy", "precision", "recall", "f1_score", "roc_auc")) + ", tn, fp, fn, tp from comparison"
+
+
+def comparison(spark, sf):
+    """Three simple scores per trade, compared like fitted models."""
+    trades = sv.realized_trades(silver(spark, sf))
+    scored = trades.select("win_flag", F.explode(F.array(
+        F.struct(F.lit("by leverage").alias("model"), (1.0 / F.col("leverage")).alias("probability")),
+        F.struct(F.lit("by mood").alias("model"), (F.col("sentiment_score") / 100.0).alias("probability")),
+        F.struct(F.lit("by hour").alias("model"), (F.col("hour") / 24.0).alias("probability")))).alias("s")).select(
+        "win_flag", "s.*").withColumn("prediction", F.when(F.col("probability") >= 0.5, 1).otherwise(0))
+    return learn.classification_metrics(scored, by=["model"])
+
+
+METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
+
+
+@query("classification_metrics", oracle.on_silver(METRIC_SQL, SCORED_CTE))
+def classification_metrics(spark, sf):
+    return steady(comparison(spark, sf), real=METRICS)
+
+
+@query("select_best", oracle.on_silver(f"{METRIC_SQL} order by comparison.f1_score desc, model limit 1", SCORED_CTE))
+def select_best(spark, sf):
+    return steady(learn.select_best(comparison(spark, sf), ordinal="model"), real=METRICS)
+
+
+# ---- classifier -------------------------------------------------------------
+
+@query("encode_features")
+def encode_features(spark, sf):
+    rows = learn.model_rows(silver(spark, sf))
+    return learn.encode_features(rows).transform(rows).select(
+        "fill_seq", "win_flag", F.col("features").cast("string").alias("features"))
+
+
+@query("train_compare")
+def train_compare(spark, sf):
+    return learn.train_compare(silver(spark, sf))[0]
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    models = learn.train_compare(silver(spark, sf), names=["Random Forest"], trees=20)[1]
+    return learn.feature_importance(models["Random Forest"])
+
+
+@query("predict_wins")
+def predict_wins(spark, sf):
+    trades = silver(spark, sf)
+    models = learn.train_compare(trades, names=["Logistic Regression"])[1]
+    return learn.predict_wins(models["Logistic Regression"], learn.model_rows(trades))
+
+
+# ---- attribution ------------------------------------------------------------
+
+FEATURES = ["leverage", "size_usd", "sentiment_score", "hour", "is_long", "is_monday"]
+_WEIGHT = {f: td.IMPORTANCES.get(f, 0.01) for f in FEATURES}
+_BASE = {"leverage": 8.5, "size_usd": 5000.0, "sentiment_score": 50.0, "hour": 12.0}
+
+
+def _attribution_sql() -> str:
+    parts = []
+    for f in FEATURES:
+        value = {"is_long": "case when trade_direction = 'Long' then 1e0 else 0e0 end",
+                 "is_monday": "case when day_of_week = 'Monday' then 1e0 else 0e0 end"}.get(f, f"cast({f} as double)")
+        dev = f"(v - {_BASE[f]}e0) / {_BASE[f]}e0" if f in _BASE else "v - 0.25e0"
+        sign = {"leverage": "-1e0", "size_usd": "-1e0",
+                "sentiment_score": "case when v > 45 then 1e0 else -0.5e0 end"}.get(f, "1e0")
+        parts.append(f"select fill_seq, '{f}' as feature, v as feature_value, ({dev}) * {_WEIGHT[f]}e0 * ({sign}) as attribution "
+                     f"from (select fill_seq, {value} as v from realized)")
+    return "attributions as (" + " union all ".join(parts) + ")"
+
+
+def attributions(spark, sf):
+    rows = sv.realized_trades(silver(spark, sf)).withColumns({
+        "is_long": F.when(F.col("trade_direction") == "Long", 1.0).otherwise(0.0),
+        "is_monday": F.when(F.col("day_of_week") == "Monday", 1.0).otherwise(0.0)})
+    return learn.linear_attribution(rows, "fill_seq", FEATURES, td.IMPORTANCES)
+
+
+@query("linear_attribution", oracle.on_silver(
+    f"select fill_seq, feature, feature_value, {real('attribution')} as attribution from attributions", _attribution_sql()))
+def linear_attribution(spark, sf):
+    return steady(attributions(spark, sf), real=["attribution"])
+
+
+@query("global_attribution", oracle.on_silver(
+    f"select feature, {real('avg(abs(attribution))')} as importance from attributions group by feature", _attribution_sql()))
+def global_attribution(spark, sf):
+    return steady(learn.global_attribution(attributions(spark, sf)), real=["importance"])

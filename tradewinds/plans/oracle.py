@@ -138,7 +138,7 @@ hits as (select article_id, unnest(tokens) as token from tokenized),
 hit_sums as (select article_id, sum(weight) as w, count(*) as n from hits join lexicon using (token) group by article_id),
 scores as (
   select article_id, title, source, published_date,
-         coalesce(least(1e0, greatest(-1e0, w / n)), 0e0) as sentiment_score,
+         case when n is null then 0e0 else least(1e0, greatest(-1e0, w / n)) end as sentiment_score,
          case when n is null then 1e0 else least(1e0, greatest(0.5e0, n * 0.15e0 + 0.5e0)) end as confidence_score,
          case when w / n > 0.15e0 then 'Bullish' when w / n < -0.15e0 then 'Bearish' else 'Neutral' end as sentiment_class
   from tokenized left join hit_sums using (article_id))"""

@@ -1 +1,62 @@
-"""To come."""
+"""Source and sink queries: the given tables are written to the shared folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tradewinds.operators import marts
+from tradewinds.plans import oracle, testdata as td
+from tradewinds.plans.catalog import query
+from tradewinds.plans.compare import real, steady
+from tradewinds.plans.trade_queries import silver
+from tradewinds.session import scratch_path
+from tradewinds.sources import readers, writers
+
+
+@query("read_fills", oracle.sql("""
+select account, coin, execution_price, size_usd, date_trunc('minute', ts) as ts, direction, closed_pnl, trade_id from fx_fills""",
+    oracle.FILLS))
+def read_fills(spark, sf):
+    path = scratch_path(spark, "fills-csv")
+    writers.write_ledger(td.bronze_fills(spark, sf).select(
+        "Account", "Coin", "Execution Price", "Size USD", "Timestamp IST", "Direction", "Closed PnL", "Trade ID"), path)
+    return readers.read_fills(spark, path).drop("fill_seq").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("read_sentiment", oracle.sql("select date, sentiment_score, sentiment_class from fx_sentiment", oracle.SENTIMENT))
+def read_sentiment(spark, sf):
+    path = scratch_path(spark, "sentiment-csv")
+    writers.write_ledger(td.bronze_sentiment(spark, sf), path)
+    return readers.read_sentiment(spark, path)
+
+
+@query("read_articles", oracle.sql("""
+select cast(article_id as varchar) as article_id, title, content, source, author,
+       strftime(published_date, '%Y-%m-%dT%H:%M:%SZ') as published_date from fx_articles""", oracle.ARTICLES))
+def read_articles(spark, sf):
+    path = scratch_path(spark, "articles-json")
+    docs = td.articles(spark, sf).withColumns({
+        "article_id": F.col("article_id").cast("string"),
+        "published_date": F.date_format("published_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")})
+    writers.write_articles(docs, path)
+    return readers.read_articles(spark, path, multi_line=False).drop("url")
+
+
+@query("read_silver", oracle.on_silver(f"""
+select month, count(*) as trades, {real('avg(roe)')} as avg_roe from silver group by month"""))
+def read_silver(spark, sf):
+    path = scratch_path(spark, "silver")
+    writers.write_table(silver(spark, sf), path, ["month"])
+    months = readers.read_silver(spark, path).groupBy(F.col("month").cast("string").alias("month")).agg(
+        F.count(F.lit(1)).alias("trades"), F.avg("roe").alias("avg_roe"))
+    return steady(months, real=["avg_roe"])
+
+
+@query("write_ledger", oracle.sql(
+    "select token_symbol, count(*) as total_trades from fact group by token_symbol",
+    oracle.SENTIMENT, oracle.FILLS, oracle.BRONZE, oracle.FACT))
+def write_ledger(spark, sf):
+    path = scratch_path(spark, "coins-csv")
+    fact = marts.fact_trades(marts.stg_fills(td.bronze_fills(spark, sf)), marts.stg_sentiment(td.bronze_sentiment(spark, sf)))
+    writers.write_ledger(marts.dim_coins(fact).select("token_symbol", "total_trades"), path)
+    return spark.read.schema("token_symbol string, total_trades bigint").option("header", True).csv(path)
