@@ -149,10 +149,10 @@ def select_best(comparison: DataFrame, metric: str = "f1_score", ordinal: str =
 
 # ---- training ---------------------------------------------------------------
 
-def classifiers(train_rows: int, trees: int = 100, depth: int = 12, boosted: bool = True) -> dict:
+def classifiers(train_rows: int, trees: int = 100, depth: int = 12, boosted: bool = False) -> dict:
     common = {"labelCol": LABEL, "featuresCol": "features", "seed": 42}
     models = {
-        "Random Forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, **common),
+        "Random Forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, **common),
         # an L2 penalty of 1/n is the unit inverse-regularisation of the usual single-node solver
         "Logistic Regression": LogisticRegression(
             labelCol=LABEL, featuresCol="features", maxIter=1000, regParam=1.0 / max(train_rows, 1), standardization=False),
@@ -168,14 +168,17 @@ def _score(model, rows: DataFrame) -> DataFrame:
         "prediction", F.col("prediction").cast("int")).drop("probability", "rawPrediction")
 
 
-def train_compare(silver: DataFrame, trees: int = 100, depth: int = 12, boosted: bool = True,
+def train_compare(silver: DataFrame, trees: int = 100, depth: int = 12, boosted: bool = False,
                   names: Sequence[str] | None = None) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Fit the candidate classifiers and compare them on the held-out rows.
 
     Returns the comparison table (one row per model) and the fitted models,
-    each able to score raw silver rows.
+    each able to score raw silver rows. ``boosted`` adds gradient-boosted trees.
     """
-    rows = stratified_split(model_rows(silver)).persist(StorageLevel.MEMORY_AND_DISK)
+    # every tree level and every optimizer step reads the training rows: spread them evenly once
+    spark = silver.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    rows = stratified_split(model_rows(silver)).repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
     encoder = encode_features(train)
     encoded = encoder.transform(train).select(LABEL, "features").persist(StorageLevel.MEMORY_AND_DISK)

@@ -377,7 +377,7 @@ TRENDS_CTE = """
 daily_scores as (
   select cast(published_date as date) as date, avg(sentiment_score) as avg_sentiment, count(article_id) as article_count
   from scores group by cast(published_date as date)),
-returns as (select date + interval '312' month as date, avg(roe) as roe from silver group by date),
+returns as (select date + interval '266' month as date, avg(roe) as roe from silver group by date),
 momentum as (
   select *, avg(avg_sentiment) over (order by date rows between 6 preceding and current row) as sentiment_momentum,
          coalesce(stddev_samp(avg_sentiment) over (order by date rows between 6 preceding and current row), 0e0) as sentiment_volatility
@@ -395,8 +395,8 @@ TREND_REALS = ["avg_sentiment", "sentiment_momentum", "sentiment_volatility", "s
 
 
 def shifted_silver(spark, sf):
-    """The trade years lie before the articles; moved by 312 months they overlap."""
-    return silver(spark, sf).withColumn("date", F.add_months("date", 312))
+    """The trade years lie before the articles; moved by 266 months they end within them."""
+    return silver(spark, sf).withColumn("date", F.add_months("date", 266))
 
 
 def all_trends(spark, sf):

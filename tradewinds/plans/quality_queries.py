@@ -10,6 +10,8 @@ from tradewinds.plans import oracle
 from tradewinds.plans.catalog import query
 from tradewinds.plans.compare import real, steady
 from tradewinds.plans.trade_queries import silver
+from tradewinds.session import scratch_path
+from tradewinds.sources.writers import write_table
 
 
 def dirty_silver(spark, sf):
@@ -101,10 +103,9 @@ def data_quality_report(spark, sf):
 
 @query("run_metrics")
 def run_metrics(spark, sf):
-    from tradewinds.session import scratch_path
-    from tradewinds.sources.writers import write_table
-
     metrics = q.StepMetrics(spark)
-    with metrics.step("silver") as watch:
-        write_table(watch(silver(spark, sf)), scratch_path(spark, "silver"))
+    path = scratch_path(spark, "silver")
+    with metrics.step("silver") as done:
+        write_table(silver(spark, sf), path)
+        done(spark.read.parquet(path))
     return metrics.table()
