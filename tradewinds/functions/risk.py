@@ -29,6 +29,14 @@ def profit_factor(pnl="closed_pnl", no_loss="inf") -> Column:
     return F.when(losses > 0, gains / losses).otherwise(fallback)
 
 
+def correlation(a, b) -> Column:
+    """Pearson correlation; NULL when a side is constant (the built-in ``corr`` raises there in ANSI mode)."""
+    x, y = as_col(a), as_col(b)
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def volatility(r) -> Column:
     return F.coalesce(F.stddev_samp(as_col(r)), F.lit(0.0))
 

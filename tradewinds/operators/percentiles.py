@@ -50,12 +50,14 @@ def bracketed_percentiles(df: DataFrame, keys: Sequence[str], column: str, wante
     stats = values.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", [float(g) for g in grid], accuracy).alias("_grid"))
+    # a bracket narrower than a few rows could miss the neighbour rank: small groups keep all their values
+    few = F.col("_n") * slack < 8
     brackets = stats.select(*keys, F.array(*[
         F.struct(
             F.lit(i).alias("i"),
             (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
-            (F.col("_min") if p - slack <= 0 else F.col("_grid")[2 * i]).alias("lo"),
-            (F.col("_max") if p + slack >= 1 else F.col("_grid")[2 * i + 1]).alias("hi"))
+            F.when(few | F.lit(p - slack <= 0), F.col("_min")).otherwise(F.col("_grid")[2 * i]).alias("lo"),
+            F.when(few | F.lit(p + slack >= 1), F.col("_max")).otherwise(F.col("_grid")[2 * i + 1]).alias("hi"))
         for i, p in enumerate(wanted.values())]).alias("_brackets"))
     if groups <= MAX_BROADCAST_GROUPS:
         joined = attach_by_key(values, brackets, keys, "inner")

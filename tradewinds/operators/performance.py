@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tradewinds import vocab
-from tradewinds.functions.risk import profit_factor
+from tradewinds.functions.risk import correlation, profit_factor
 from tradewinds.functions.trade import class_rank
 from tradewinds.operators.percentiles import MAX_BUFFER_ROWS, agg_with_percentiles
 from tradewinds.operators.silver import realized_trades
@@ -133,9 +133,9 @@ def leverage_correlation(silver: DataFrame, min_rows: int = 5) -> DataFrame:
     """Pearson correlations overall and per class with more than ``min_rows`` trades."""
     out = realized_trades(silver).groupingSets([[], ["sentiment_class"]], "sentiment_class").agg(
         F.grouping_id().alias("_level"),
-        F.corr("leverage", "closed_pnl").alias("corr_leverage_pnl"),
-        F.corr("leverage", "roe").alias("corr_leverage_roe"),
-        F.corr("leverage", "pnl_pct").alias("corr_leverage_pnl_pct"),
+        correlation("leverage", "closed_pnl").alias("corr_leverage_pnl"),
+        correlation("leverage", "roe").alias("corr_leverage_roe"),
+        correlation("leverage", "pnl_pct").alias("corr_leverage_pnl_pct"),
         F.count(F.lit(1)).alias("sample_size"))
     scope = F.when(F.col("_level") == 1, "Overall").otherwise(F.col("sentiment_class"))
     return (
