@@ -70,21 +70,21 @@ def array_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def whole_words(text) -> Column:
-    """Distinct maximal runs of word characters of the lower-cased text."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(as_col(text)), F.lit(r"\w+"), F.lit(0)))
-
-
 def keyword_hits(text, keywords: list[str]) -> Column:
-    """Keywords that occur in the text between word boundaries.
+    """Distinct keywords that occur in the text between word boundaries.
 
-    A keyword made of word characters only is matched against the word set;
-    phrases (blank or punctuation inside) take one literal pattern each.
+    Keywords made of word characters only match whole words, of which at most
+    one keyword can sit at a place, so one alternation finds them all in one
+    pass. Phrases (blank or punctuation inside) may overlap other keywords and
+    take a literal pattern each.
     """
     plain = [k for k in keywords if re.fullmatch(r"\w+", k, re.ASCII)]
     phrases = [k for k in keywords if k not in plain]
-    hits = F.filter(whole_words(text), lambda w: w.isin(plain)) if plain else F.array().cast("array<string>")
     lowered = F.lower(as_col(text))
+    if plain:
+        hits = F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"\b(?:" + "|".join(plain) + r")\b"), F.lit(0)))
+    else:
+        hits = F.array().cast("array<string>")
     for phrase in phrases:
         found = lowered.rlike(r"\b" + re.escape(phrase) + r"\b")
         hits = F.when(found, F.array_append(hits, F.lit(phrase))).otherwise(hits)

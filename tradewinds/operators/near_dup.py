@@ -15,7 +15,7 @@ from tradewinds.session import cut_lineage
 
 MAX_FREQUENT_TOKENS = 200_000
 HOT_TOKEN_ROWS = 20_000
-PAIRS_PER_SET = 200
+PAIRS_PER_SET = 1000
 
 
 def token_sets(tokenized: DataFrame) -> DataFrame:
@@ -67,10 +67,16 @@ def _may_match(threshold: float) -> Column:
 
 
 def _verify(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Keep candidate pairs (first, second) whose full sets exceed the threshold, with their similarity."""
+    """Keep candidate pairs (first, second) whose full sets exceed the threshold, with their similarity.
+
+    The candidates (two ids each) are stored first: verification is then planned
+    with their real number instead of a guess about the self join.
+    """
+    candidates = cut_lineage(candidates)
     left = sets.select(F.col("id").alias("first"), F.col("tokens").alias("_ta"), F.col("n").alias("_na"))
     right = sets.select(F.col("id").alias("second"), F.col("tokens").alias("_tb"), F.col("n").alias("_nb"))
     both = F.size(F.array_intersect("_ta", "_tb"))
+    # the overlap is computed once, in its own projection
     scored = candidates.join(left, "first").join(right, "second").withColumn("_both", both)
     return scored.select("first", "second", (F.col("_both") / (F.col("_na") + F.col("_nb") - F.col("_both"))).alias("jaccard")
                          ).where(F.col("jaccard") > threshold)
@@ -158,16 +164,20 @@ def near_duplicate_ids(sets: DataFrame, threshold: float, hot_rows: int = HOT_TO
     """
     dropped = sets.select("id").limit(0)
     prefix = cut_lineage(prefixes(sets, threshold))
-    fruitless = 0
-    while fruitless < 3:
-        load, rows = _pair_load(prefix), prefix.select("id").distinct().count()
-        if load <= max(pairs_per_set * rows, 1.0):
+    previous, idle = float("inf"), 0
+    while True:
+        load = _pair_load(prefix)
+        if load <= max(pairs_per_set * prefix.select("id").distinct().count(), 1.0):
+            break
+        # rounds that no longer shrink the load have met no family: the pair join takes over
+        idle = idle + 1 if load > 0.8 * previous else 0
+        if idle == 3:
             break
+        previous = load
         leaders = cut_lineage(_leaders(prefix))
         gone = cut_lineage(_dropped_by_leaders(sets, prefix, leaders, threshold, hot_rows))
         dropped = dropped.unionByName(gone)
         prefix = cut_lineage(prefix.join(leaders.unionByName(gone), "id", "left_anti"))
-        fruitless = fruitless + 1 if gone.isEmpty() else 0
     return dropped.unionByName(_peel(similar_sets(sets, prefix, threshold, hot_rows)))
 
 

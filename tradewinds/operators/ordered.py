@@ -6,8 +6,8 @@ the table. Every ordered operator here therefore goes through two layouts:
 
 * short series: the plain window, one shuffle;
 * long series: the rows are range-partitioned on (key, order), so a hot key is
-  spread over many equally large blocks, the block numbers are pinned by a
-  reliable checkpoint, windows run inside ``(key, block)``, and what a block
+  spread over many equally large blocks, the block numbers are pinned by
+  writing the rows to the shared folder, windows run inside ``(key, block)``, and what a block
   needs from the blocks before it comes from a summary of one row per
   ``(key, block)``.
 
@@ -53,6 +53,7 @@ def ordered_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], max
         if longest <= max_rows:
             return df.withColumn(BLOCK, F.lit(0)), False
         count = math.ceil(total / max_rows) + 1
+    # the range boundaries come from a sample, so the block numbers are stored before anything reads them
     ranged = df.repartitionByRange(count, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
     return cut_lineage(ranged), True
 
@@ -142,8 +143,8 @@ def bounded_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], reac
         smallest = inner.agg(F.min("_n")).first()[0]
         if smallest is not None and smallest < reach:
             # a block in the middle of a series is shorter than the frame: use fewer, longer blocks
-            return bounded_frame(df, keys, order, reach, compute, max_rows,
-                                 count=max(1, blocks.rdd.getNumPartitions() // 2))
+            used = blocks.agg(F.max(BLOCK)).first()[0] + 1
+            return bounded_frame(df, keys, order, reach, compute, max_rows, count=max(1, used // 2))
     place = Window.partitionBy(*keys, BLOCK)
     ranked = blocks.withColumn("_rank", F.row_number().over(place.orderBy(*order))).withColumn(
         "_size", F.count(F.lit(1)).over(place))

@@ -23,14 +23,24 @@ THEMES = {
 IMPORTANCES = {"leverage": 0.2, "size_usd": 0.3, "sentiment_score": 0.25, "hour": 0.1, "is_long": 0.05}
 
 
+WIDE_TABLES = ("lineitem", "documents")
 _OPENED: dict[tuple[SparkSession, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """Open a table once per session, so that its footer is read once; the rows stay lazy."""
+    """Open a table once per session, so that its footer is read once; the rows stay lazy.
+
+    A large table stored in fewer splits than there are cores would be read and
+    processed by as few tasks; only then its rows are dealt out first. Tables
+    with at least as many splits as cores are never repartitioned.
+    """
     path = f"{sf}/{name}.parquet"
     if (spark, path) not in _OPENED:
-        _OPENED[(spark, path)] = spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        if name in WIDE_TABLES and df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        _OPENED[(spark, path)] = df
     return _OPENED[(spark, path)]
 
 

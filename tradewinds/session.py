@@ -48,6 +48,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint: the rows are stored in the shared folder, so losing an executor is harmless."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store the rows as a table in the shared folder and continue from there.
+
+    Losing an executor then costs nothing, repeated readers prune columns, and
+    later plans see real sizes. The folder's owner clears it after the run.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
