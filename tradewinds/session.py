@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,17 +25,16 @@ def get_session(app_name: str = "tradewinds", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; it must be visible to every executor.
+    """The folder that every executor and the driver see.
 
-    Only a local master may fall back to a temporary folder, because there the
-    driver and the executors are one process on one machine.
+    ``spark.checkpoint.dir`` names it. Where that is unset, a folder inside the
+    session's warehouse is taken, which is shared storage by contract; a
+    machine-local temporary folder never is.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="tradewinds-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder
@@ -47,6 +45,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df):
     """Store the rows as a table in the shared folder and continue from there.
 
