@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewinds.llm import exact_dedup, sharding
+from tradewinds.llm import bpe, exact_dedup, packing, sharding
+from tradewinds.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +44,23 @@ def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_extendible_sharding"] = sharding.shards_sql()
+
+
+@_query
+def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(documents(spark, sf_dir))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The pieces of all documents with their places; token ids are summed up by their CRC."""
+    found = packing.cut(docs, public_tokenizers.path("word_bpe_49k.json"))
+    rows = cut_lineage(found.select("id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+    return packing.pack(rows).withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
+    return bpe.decode(ids, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
