@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F
 
 #: The six ASCII characters that separate words: space and tab to carriage return.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -131,3 +132,13 @@ def shingle_hashes(hashes: np.ndarray, text: np.ndarray, n_texts: int, k: int) -
 def crc_mod(column: str, n: int) -> str:
     """SQL: crc32 of a value written as text, modulo n. A null id counts as remainder 0 of the empty text."""
     return f"(crc32(cast(coalesce(cast({column} as string), '') as binary)) % {n})"
+
+
+def bounded_sample(rows: DataFrame, group: str, n: int, id_col: str) -> DataFrame:
+    """Up to n rows of every value of ``group``, those with the least hash of their id.
+
+    Every task passes on n rows of a group at most, so a group that holds a
+    third of all rows meets no single task.
+    """
+    by = Window.partitionBy(group).orderBy(F.xxhash64(id_col), F.col(id_col))
+    return rows.withColumn("__nth", F.row_number().over(by)).where(F.col("__nth") <= n).drop("__nth")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewinds.llm import ann, bpe, exact_dedup, packing, sharding
+from tradewinds.llm import ann, bpe, exact_dedup, lang_id, packing, sharding
+from tradewinds.llm.common import crc_mod
 from tradewinds.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,14 @@ def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows.where("vec_id % 20 = 0"), 20)
 
 
+@_query
+def op2_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    fold = crc_mod("doc_id", 3)
+    trees = lang_id.train(docs.where(f"{fold} <> 1"))
+    return lang_id.identify(docs, trees).selectExpr("id as doc_id", crc_mod("id", 3) + " = 1 as held_out", "lang_pred", "score", "bits")
+
+
 @_query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).select(
