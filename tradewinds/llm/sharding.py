@@ -59,7 +59,7 @@ def extendible_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         leaves = sizes.where(_leaf(limit)).select("level", "prefix", "bytes", "n")
         # the leaf of a cell is its shortest prefix that needs no further bit
         directory = cut_lineage(levels.select("cell", "level", "prefix").join(leaves, ["level", "prefix"], "left").groupBy("cell").agg(
-            F.min_by(F.struct("level", "prefix", "bytes", "n"), F.when(F.col("n").isNotNull(), F.col("level"))).alias("leaf")))
+            F.min_by(F.struct("level", "prefix", "bytes", "n"), F.when(F.col("n").isNotNull(), F.col("level"))).alias("leaf")).coalesce(8))
         placed = left.withColumn("cell", cell).join(directory, "cell", "left")
         found.append(placed.where("leaf.n is not null").select(
             "id", "n_bytes", "hash", "row", (F.lit(done) + F.col("leaf.level")).alias("depth"),
