@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewinds.llm import ann, bpe, exact_dedup, lang_id, packing, sharding
+from tradewinds.llm import ann, bpe, exact_dedup, lang_id, packing, sharding, toxicity
 from tradewinds.llm.common import crc_mod
 from tradewinds.session import cut_lineage
 
@@ -61,6 +61,19 @@ def op8_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_extendible_sharding"] = sharding.shards_sql()
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
+    """Learned from the labels of documents outside the held-out fold."""
+    learned = docs.where(crc_mod("doc_id", 3) + " <> 1")
+    return toxicity.train(learned, spark.read.parquet(f"{sf_dir}/labels.parquet"), docs)
+
+
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity_model(spark, docs, sf_dir)).selectExpr(
+        "id as doc_id", crc_mod("id", 3) + " = 1 as held_out", "score", "predicted", "evidence")
+
+
 @_query
 def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
