@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 #: The six ASCII characters that separate words: space and tab to carriage return.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
+#: Slots of the presence filter that tells rows which surely have no partner.
+FILTER_SLOTS = 1 << 21
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, dtype=bool)
@@ -142,3 +145,14 @@ def bounded_sample(rows: DataFrame, group: str, n: int, id_col: str) -> DataFram
     """
     by = Window.partitionBy(group).orderBy(F.xxhash64(id_col), F.col(id_col))
     return rows.withColumn("__nth", F.row_number().over(by)).where(F.col("__nth") <= n).drop("__nth")
+
+
+def slot(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_SLOTS)).cast("int")
+
+
+def presence(ids: DataFrame, column: str = "id") -> np.ndarray:
+    """Which slots the ids of a table fall into. At most FILTER_SLOTS numbers come to the driver, however many ids there are."""
+    out = np.zeros(FILTER_SLOTS, dtype=bool)
+    out[np.asarray(ids.select(slot(column).alias("slot")).distinct().toArrow()["slot"])] = True
+    return out

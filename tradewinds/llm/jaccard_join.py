@@ -8,14 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tradewinds.llm.common import codes, mix, pieces, shingle_hashes, utf8, word_hashes, words
+from tradewinds.llm.common import codes, mix, pieces, presence, shingle_hashes, slot, utf8, word_hashes, words
 from tradewinds.llm.components import components
 from tradewinds.session import cut_lineage
 
 #: Near duplicates unless a caller says otherwise: shingles of five words, 80 of 100 in common.
 SHINGLE_WORDS, PERCENT = 5, 80
-#: Slots of the presence filter that spares texts without candidates the second computation.
-FILTER_SLOTS = 1 << 21
 
 _CELL = codes(3)
 
@@ -201,17 +199,6 @@ def shingle_sets(df: DataFrame, wanted: np.ndarray, k: int, id_col: str, text_co
     return rows.mapInArrow(run, "id long, members binary")
 
 
-def slot(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_SLOTS)).cast("int")
-
-
-def presence(ids: DataFrame, column: str = "id") -> np.ndarray:
-    """Which slots the ids of a table fall into. At most FILTER_SLOTS numbers come to the driver, however many ids there are."""
-    out = np.zeros(FILTER_SLOTS, dtype=bool)
-    out[np.asarray(ids.select(slot(column).alias("slot")).distinct().toArrow()["slot"])] = True
-    return out
-
-
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a, b``) that are linked, with their number of ``common`` shingles and of shingles in ``either``."""
     both = pairs.join(sets.selectExpr("id as a", "members as ma"), "a").join(sets.selectExpr("id as b", "members as mb"), "b")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewinds.llm import ann, bpe, exact_dedup, jaccard_join, lang_id, packing, sharding, toxicity
+from tradewinds.llm import ann, bpe, exact_dedup, jaccard_join, lang_id, packing, repeats, sharding, toxicity
 from tradewinds.llm.common import crc_mod
 from tradewinds.session import cut_lineage
 
@@ -97,3 +97,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
     return bpe.decode(ids, path).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@_query
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
