@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewinds.llm import ann, bpe, exact_dedup, jaccard_join, lang_id, packing, repeats, sharding, toxicity
+from tradewinds.llm import ann, bpe, exact_dedup, jaccard_join, lang_id, lm_score, packing, repeats, sharding, toxicity
 from tradewinds.llm.common import crc_mod
 from tradewinds.session import cut_lineage
 
@@ -38,6 +38,12 @@ def op2_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs, trees).selectExpr("id as doc_id", crc_mod("id", 3) + " = 1 as held_out", "lang_pred", "score", "bits")
 
 
+@_query
+def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score.score(documents(spark, sf_dir), crc_mod("doc_id", 7) + " <> 2")
+    return found.selectExpr("id as doc_id", crc_mod("id", 7) + " = 2 as held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 @_query
 def op4_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(documents(spark, sf_dir), k=3, percent=90).withColumnRenamed("id", "doc_id")
