@@ -15,6 +15,9 @@ from tradewinds.session import cut_lineage
 #: Near duplicates unless a caller says otherwise: shingles of five words, 80 of 100 in common.
 SHINGLE_WORDS, PERCENT = 5, 80
 
+#: Bits of the parity sketch that pairs must pass before their sets are fetched.
+SKETCH_BITS = 2048
+
 _CELL = codes(3)
 
 
@@ -178,29 +181,73 @@ def buckets(df: DataFrame, k: int, percent: int, id_col: str, text_col: str) ->
     return made.repartition("key").sortWithinPartitions("key", "id").mapInArrow(gather, "key long, id long, leader long")
 
 
+def parity_sketches(df: DataFrame, wanted: np.ndarray, k: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, n, sketch``: set size and parity sketch of the documents in the presence filter.
+
+    Every member toggles one of SKETCH_BITS bits, so two sketches differ in at
+    most as many bits as their sets differ in members.
+    """
+
+    def fill(run, text, n_texts):
+        place, packed = (mix(run + _CELL[5]) % np.uint64(SKETCH_BITS)).astype(np.int64), []
+        for at in range(0, n_texts, 1000):
+            mine = slice(*np.searchsorted(text, [at, at + 1000]))
+            bits = np.bincount((text[mine] - at) * SKETCH_BITS + place[mine], minlength=min(1000, n_texts - at) * SKETCH_BITS)
+            packed += [x.tobytes() for x in np.packbits((bits & 1).astype(bool).reshape(-1, SKETCH_BITS), axis=1)]
+        return {"n": pa.array(np.bincount(text, minlength=n_texts)), "sketch": pa.array(packed, pa.binary())}
+
+    return _computed(df, wanted, k, id_col, text_col, fill, "n long, sketch binary")
+
+
 def shingle_sets(df: DataFrame, wanted: np.ndarray, k: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, n, members`` (sorted 64-bit hashes) of the documents whose slot is in the presence filter, and of no others."""
+    """``id, members``: the sorted 64-bit hashes of the sets of the documents in the presence filter."""
+
+    def fill(run, text, n_texts):
+        cut, raw = [0, *(8 * np.cumsum(np.bincount(text, minlength=n_texts))).tolist()], run.tobytes()
+        return {"members": pa.array([raw[a:b] for a, b in zip(cut, cut[1:])], pa.binary())}
+
+    return _computed(df, wanted, k, id_col, text_col, fill, "members binary")
+
+
+def _computed(df: DataFrame, wanted: np.ndarray, k: int, id_col: str, text_col: str, fill, columns: str) -> DataFrame:
+    """What ``fill`` makes of the sets of the documents whose slot is in the presence filter; other texts are passed over."""
     shared = df.sparkSession.sparkContext.broadcast(np.packbits(wanted))  # FILTER_SLOTS bits at most
 
     def run(batches):
         present = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            mask = present[np.asarray(batch.column(2))]
-            batch = batch.filter(pa.array(mask))
+            batch = batch.filter(pa.array(present[np.asarray(batch.column(2))]))
             for start, part in pieces(batch.column(1)):
-                run_, text = text_sets(part, k)
-                ends = np.cumsum(np.bincount(text, minlength=len(part)))
-                raw = run_.tobytes()
-                cut = [0, *(8 * ends).tolist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(part)), pa.array([raw[a:b] for a, b in zip(cut, cut[1:])], pa.binary())],
-                                                 ["id", "members"])
+                made = fill(*text_sets(part, k), len(part))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(part)), *made.values()], ["id", *made])
 
     rows = _texts(df, id_col, text_col).where("id is not null").withColumn("slot", slot("id"))
-    return rows.mapInArrow(run, "id long, members binary")
+    return rows.mapInArrow(run, "id long, " + columns)
+
+
+def _bits(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_BITS // 64)
+
 
+def sieve(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a, b``) that their sizes and parity sketches do not rule out."""
+    both = pairs.join(sketches.selectExpr("id as a", "n as na", "sketch as sa"), "a").join(sketches.selectExpr("id as b", "n as nb", "sketch as sb"), "b")
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    def run(batches):
+        bands = Bands(percent)
+        for batch in batches:
+            a, b, na, nb = (np.asarray(batch.column(i)) for i in range(4))
+            apart = np.bitwise_count(_bits(batch.column(4)) ^ _bits(batch.column(5))).sum(axis=1)
+            fine = (apart <= bands.differing(na, nb)) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+            yield pa.RecordBatch.from_arrays([pa.array(a[fine]), pa.array(b[fine])], ["a", "b"])
+
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+
+
+def verify(pairs: DataFrame, df: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (``a, b``) that are linked, with their number of ``common`` shingles and of shingles in ``either``."""
+    ends = pairs.selectExpr("a as id").unionByName(pairs.selectExpr("b as id"))
+    sets = cut_lineage(shingle_sets(df, presence(ends), k, id_col, text_col))
     both = pairs.join(sets.selectExpr("id as a", "members as ma"), "a").join(sets.selectExpr("id as b", "members as mb"), "b")
 
     def run(batches):
@@ -217,6 +264,61 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long, common long, either long")
 
 
+def open_pairs(cells: DataFrame, known: DataFrame, sketches: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Pairs (``a, b``) that share a key, are in different components so far, and pass the sieve.
+
+    With ``spanning`` only as many of each key as would make its components one
+    if all of them are links; else all of them. The members of a key are compared
+    within a task, so a group of many similar but unlinked documents makes no rows.
+    """
+    placed = cells.select("key", "id").join(known.withColumnRenamed("node", "id"), "id", "left").selectExpr("key", "id", "coalesce(component, id) as component")
+    # keys with the same members tell the same: one of them is enough
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"),
+                                      F.expr("bit_xor(xxhash64(id))").alias("s"), F.expr("sum(cast(xxhash64(id, 7) as decimal(38,0)))").alias("t")).where("x <> y")
+    mixed = mixed.groupBy("n", "s", "t").agg(F.min("key").alias("key")).select("key")
+    rows = cut_lineage(placed.join(mixed, "key")).join(sketches, "id").select("key", "id", "component", "n", "sketch")
+
+    def compare(table: pa.Table):
+        bands = Bands(percent)
+        key, ids, component, n = (np.asarray(table.column(i)) for i in range(4))
+        bits = _bits(table.column(4))
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        left, right = [], []
+        for lo, hi in zip(first.tolist(), np.append(first[1:], len(key)).tolist()):
+            root = component[lo:hi].copy()
+            for i in range(lo, hi - 1):
+                rest = np.flatnonzero(root[i + 1 - lo:] != root[i - lo]) + i + 1
+                if not len(rest):
+                    continue
+                rest = rest[100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])]
+                apart = np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1)
+                rest = rest[(apart <= bands.differing(n[rest], n[i])) & (ids[rest] != ids[i])]
+                if spanning and len(rest):
+                    joined, one = np.unique(root[rest - lo], return_index=True)
+                    rest = rest[one]
+                    root[np.isin(root, joined)] = root[i - lo]
+                left += [ids[i]] * len(rest)
+                right.append(ids[rest])
+        a, b = np.array(left, dtype=np.int64), np.concatenate(right or [np.zeros(0, dtype=np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+    def run(batches):
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.asarray(batch.column(0))
+            last = int(np.searchsorted(keys, keys[-1]))  # rows are sorted by key; the last one may go on in the next batch
+            if last:
+                yield compare(pa.Table.from_batches([*waiting, batch.slice(0, last)]).combine_chunks())
+                waiting = []
+            waiting.append(batch.slice(last))
+        if waiting:
+            yield compare(pa.Table.from_batches(waiting).combine_chunks())
+
+    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(df: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_shingles, component_id`` of every row: the least id reachable by links between documents.
 
@@ -230,30 +332,29 @@ def near_duplicates(df: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCEN
 
     Links are found without listing the pairs of a group. Within a cell key
     every member is compared with the least one; verified links give first
-    components. Keys whose members are then in one component need no more. Of
-    the others, members of different components are compared with each other.
+    components. Keys whose members are then in one component need no more. In
+    the others, members of different components are compared by their parity
+    sketches: first as many pairs are verified as would join the components, then
+    all that are still open.
     """
     ids = cut_lineage(summaries(df, k, id_col, text_col))
     equal = ids.where("key_a is not null and id is not null").groupBy("key_a", "key_b").agg(F.min("id").alias("first"))
     same = ids.join(equal, ["key_a", "key_b"]).where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     same = cut_lineage(same.distinct())
     cells = cut_lineage(buckets(df, k, percent, id_col, text_col))
-    sizes = ids.where("id is not null").groupBy("id").agg(F.max("n_shingles").alias("most"), F.min("n_shingles").alias("least"))
-    pairs = cut_lineage(cells.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
     links = same
-    if not pairs.isEmpty():
-        sets = cut_lineage(shingle_sets(df, presence(cells), k, id_col, text_col))
-        found = cut_lineage(verify(pairs, sets, percent).select("a", "b"))
-        first = components(same.unionByName(found))
-        placed = cells.select("key", "id").join(first.withColumnRenamed("node", "id"), "id", "left").selectExpr("key", "id", "coalesce(component, id) as component")
-        mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        open_ = cut_lineage(placed.join(mixed, "key").join(sizes, "id"))
-        x, y = (open_.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "most", "least"))) for s in "ab")
-        rest = x.join(y, "key").where(
-            f"component_a <> component_b and id_a > id_b and 100 * most_a >= {percent} * least_b and 100 * most_b >= {percent} * least_a")
-        rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        more = verify(rest, sets, percent).select("a", "b")
-        links = cut_lineage(same.unionByName(found).unionByName(more))
+    if not cells.isEmpty():
+        sketches = cut_lineage(parity_sketches(df, presence(cells), k, id_col, text_col))
+        pairs = cells.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+        tested = cut_lineage(sieve(pairs, sketches, percent))
+        for spanning in (True, False, None):
+            links = cut_lineage(links.unionByName(verify(tested, df, k, percent, id_col, text_col).select("a", "b")))
+            if spanning is None:
+                break
+            found = cut_lineage(open_pairs(cells, components(links), sketches, percent, spanning))
+            tested = cut_lineage(found.join(tested, ["a", "b"], "left_anti"))
+            if tested.isEmpty():
+                break
     groups = components(links).withColumnRenamed("node", "id")
     return ids.join(groups, "id", "left").selectExpr("id", "n_shingles", "coalesce(component, id) as component_id")
 
