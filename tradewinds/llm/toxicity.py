@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from tradewinds.llm.common import bounded_sample, pieces
+from tradewinds.session import cut_lineage
 
 #: Labelled examples of each class at most, terms of the index at most, examples of a block, and neighbours that vote.
 EXAMPLES, TERMS, BLOCK, NEIGHBOURS = 2000, 4096, 64, 15
@@ -57,19 +58,26 @@ class ExampleIndex:
         if not len(terms) or not self.blocks:
             return []
         bound = weights @ self.most[terms]
+        order = np.argsort(-bound, kind="stable")
         best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or len(best) == k and bound[block] < -best[-1][0] - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for term, weight in zip(terms.tolist(), weights.tolist()):
-                at = term * self.blocks + block
-                a, b = self.pointer[at], self.pointer[at + 1]
-                if a < b:
-                    scores[self.example[a:b] - block * BLOCK] += weight * self.weight[a:b]
-            if 0 <= without - block * BLOCK < BLOCK:
-                scores[without - block * BLOCK] = 0
-            best = sorted([*best, *((-float(scores[i]), block * BLOCK + int(i)) for i in np.flatnonzero(scores > 0))])[:k]
+        at, step = 0, 1
+        while at < len(order) and bound[order[at]] > 0 and not (len(best) == k and bound[order[at]] < -best[-1][0] - 1e-12):
+            blocks = np.sort(order[at:at + step])  # ever more blocks at a time, as bounds come closer to each other
+            at, step = at + step, 2 * step
+            lists = (terms[:, None] * self.blocks + blocks).ravel()
+            begin, size = self.pointer[lists], self.pointer[lists + 1] - self.pointer[lists]
+            ends = np.cumsum(size)
+            place = np.arange(ends[-1]) + np.repeat(begin - ends + size, size)
+            value = self.weight[place] * np.repeat(np.repeat(weights, len(blocks)), size)
+            found = self.example[place]
+            row = np.searchsorted(blocks, found // BLOCK)
+            scores = np.bincount(row * BLOCK + found % BLOCK, weights=value, minlength=len(blocks) * BLOCK)
+            if 0 <= without and without // BLOCK in blocks:
+                scores[np.searchsorted(blocks, without // BLOCK) * BLOCK + without % BLOCK] = 0
+            floor = max(np.partition(scores, len(scores) - k)[-k], -best[-1][0] if len(best) == k else 0.0) if len(scores) > k else 0.0
+            near = np.flatnonzero((scores > 0) & (scores >= floor))
+            number = blocks[near // BLOCK] * BLOCK + near % BLOCK
+            best = sorted([*best, *((-s, i) for s, i in zip(scores[near].tolist(), number.tolist()))])[:k]
         return [(-s, i) for s, i in best]
 
     def vote(self, neighbours: list[tuple[float, int]], base: float) -> float:
@@ -127,12 +135,14 @@ def train(docs: DataFrame, labels: DataFrame, corpus: DataFrame, id_col: str = "
     calibrated on the examples, each judged by the others, with weights that
     restore the class shares of all labels. Null labels and texts teach nothing.
     """
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null").join(
-        labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("label in (0, 1)").distinct(), "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
+    known = cut_lineage(texts.select("id").join(
+        labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("label in (0, 1)").distinct(), "id"))
     shares = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
-    # bounded by the parameter: at most twice ``examples`` rows come to the driver
-    chosen = bounded_sample(known.select("id", "label"), "label", examples, "id").distinct()
-    rows = sorted(known.join(chosen, ["id", "label"], "left_semi").dropDuplicates(["id", "label"]).collect(), key=lambda r: (str(r.id), r.label))
+    # bounded by the parameter: at most twice ``examples`` rows are sent out, and come to the driver with their texts
+    chosen = bounded_sample(known, "label", examples, "id").distinct()
+    rows = texts.join(F.broadcast(chosen), "id").dropDuplicates(["id", "label"]).collect()
+    rows = sorted(rows, key=lambda r: (str(r.id), r.label))
     texts, marks = [r.text for r in rows], [int(r.label) for r in rows]
     numbers = choose_terms(texts, marks)
     n_docs, df = document_frequencies(corpus, numbers, text_col)
