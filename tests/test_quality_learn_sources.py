@@ -71,7 +71,9 @@ def test_step_metrics(spark, toy):
 
 @pytest.fixture(scope="module")
 def trades(spark):
-    return silver(spark, SF).persist()
+    rows = silver(spark, SF).persist()
+    yield rows
+    rows.unpersist()  # else later plans in this session would read it from the cache
 
 
 def test_features_cover_missing_longs_and_losses(spark, toy):

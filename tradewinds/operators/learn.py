@@ -17,6 +17,7 @@ from tradewinds.operators.ordered import MAX_ROWS, running
 from tradewinds.operators.performance import trader_aggs
 from tradewinds.operators.regimes import best_kmeans, name_clusters
 from tradewinds.operators.silver import realized_trades
+from tradewinds.session import cut_lineage
 
 SEGMENT_FEATURES = ["total_pnl", "win_rate", "avg_leverage", "avg_trade_size", "trade_count", "profit_factor", "long_ratio"]
 NUMERIC = ["leverage", "size_usd", "sentiment_score", "hour"]
@@ -40,7 +41,7 @@ def trader_features(silver: DataFrame) -> DataFrame:
         "profit_factor", bounded).select("account", *SEGMENT_FEATURES)
 
 
-def trader_segments(features: DataFrame, k: int = 4, seeds: Sequence[int] = (42, 43, 44)) -> DataFrame:
+def trader_segments(features: DataFrame, k: int = 4, seeds: Sequence[int] = range(42, 52)) -> DataFrame:
     """K-means personas; fewer accounts than clusters, or a degenerate fit, leave every account in the rest group."""
     clustered = best_kmeans(features, SEGMENT_FEATURES, k, seeds) if features.limit(k).count() == k else None
     rest = "Conservative / Tactical Retail"
@@ -178,7 +179,7 @@ def train_compare(silver: DataFrame, trees: int = 100, depth: int = 12, boosted:
     # every tree level and every optimizer step reads the training rows: spread them evenly once
     spark = silver.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    rows = stratified_split(model_rows(silver)).repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stratified_split_exact(model_rows(silver)).repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = rows.where(~F.col("is_test")), rows.where("is_test")
     encoder = encode_features(train)
     encoded = encoder.transform(train).select(LABEL, "features").persist(StorageLevel.MEMORY_AND_DISK)
@@ -190,14 +191,15 @@ def train_compare(silver: DataFrame, trees: int = 100, depth: int = 12, boosted:
             continue
         fitted = estimator.fit(encoded)
         models[name] = PipelineModel(stages=[*encoder.stages, fitted])
-        # scored once; both the counts and the curve read the stored scores
-        scored = _score(fitted, held_out).select(LABEL, "prediction", "win_probability").persist(StorageLevel.MEMORY_AND_DISK)
+        # scored once and stored; both the counts and the curve read the stored scores
+        scored = cut_lineage(_score(fitted, held_out).select(LABEL, "prediction", "win_probability"))
         tables.append(classification_metrics(scored, score="win_probability").select(
             F.lit(ordinal).alias("ordinal"), F.lit(name).alias("model"), "*"))
     comparison = tables[0]
     for t in tables[1:]:
         comparison = comparison.unionByName(t)
     encoded.unpersist()
+    rows.unpersist()
     return comparison, models
 
 
@@ -228,33 +230,25 @@ def load_model(path: str) -> PipelineModel:
 
 # ---- attribution ------------------------------------------------------------
 
-def _deviation(feature: str, value: Column, baselines: dict[str, float]) -> Column:
-    if feature in baselines:
-        base = baselines[feature]
-        return (value - base) / (base if base > 0 else 1.0)
-    return value - vocab.FLAG_BASELINE
-
-
-def _direction(feature: str, value: Column) -> Column:
-    if "leverage" in feature or "size_usd" in feature:
-        return F.lit(-1.0)
-    if "sentiment_score" in feature:
-        return F.when(value > 45, 1.0).otherwise(-0.5)
-    return F.lit(1.0)
-
-
 def linear_attribution(encoded: DataFrame, key: str, features: Sequence[str], importances: dict[str, float],
                        baselines: dict[str, float] | None = None) -> DataFrame:
-    """Push of every feature on every trade: deviation from its baseline times importance times direction."""
-    baselines = baselines if baselines is not None else vocab.ATTRIBUTION_BASELINES
-    entries = []
+    """Push of every feature on every trade: its relative distance from a baseline, times importance, times a sign.
+
+    ``vocab.ATTRIBUTION_RULES`` holds, by feature name, the baseline, the unit of
+    distance, and the sign up to and above a turning point; flags have one rule
+    in common. The rules meet the trades as one row per feature.
+    """
+    rules = []
     for feature in features:
-        value = F.col(feature).cast("double")
+        center, scale, turn, below, above = vocab.ATTRIBUTION_RULES.get(feature, vocab.FLAG_RULE)
+        if baselines is not None and feature in baselines:
+            center = scale = baselines[feature]
         weight = importances.get(feature, vocab.DEFAULT_IMPORTANCE)
-        entries.append(F.struct(
-            F.lit(feature).alias("feature"), value.alias("feature_value"),
-            (_deviation(feature, value, baselines) * weight * _direction(feature, value)).alias("attribution")))
-    return encoded.select(key, F.explode(F.array(*entries)).alias("e")).select(key, "e.*")
+        rules.append(F.struct(F.lit(feature).alias("feature"), F.col(feature).cast("double").alias("feature_value"), *(
+            F.lit(float(v)).alias(n) for n, v in (("center", center), ("scale", scale), ("turn", turn), ("below", below * weight), ("above", above * weight)))))
+    long = encoded.select(key, F.explode(F.array(*rules)).alias("r")).select(key, "r.*")
+    return long.select(key, "feature", "feature_value", F.expr(
+        "(feature_value - center) / scale * if(feature_value > turn, above, below)").alias("attribution"))
 
 
 def ranked_attribution(attributions: DataFrame, key: str, top: int | None = None) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tradewinds.functions.risk import profit_factor
+
 from tradewinds.functions.trade import fill_time
 
 
@@ -44,17 +46,16 @@ def fact_trades(fills: DataFrame, sentiment: DataFrame) -> DataFrame:
 
 
 def dim_traders(fact: DataFrame) -> DataFrame:
-    pnl = F.col("closed_pnl")
-    return fact.groupBy("account_address").agg(
-        F.count("trade_id").alias("total_trades"),
-        F.sum(F.when(F.col("is_closing_trade") == 1, 1).otherwise(0)).alias("realized_trades"),
-        F.sum(pnl).alias("total_realized_pnl"),
-        F.avg(F.when(F.col("is_closing_trade") == 1, pnl)).alias("avg_pnl_per_trade"),
-        F.avg("size_usd").alias("avg_position_size"),
-        F.try_divide(F.sum("is_win").cast("double"), F.sum("is_closing_trade")).alias("win_rate"),
-        F.try_divide(
-            F.sum(F.when(pnl > 0, pnl).otherwise(0.0)),
-            F.abs(F.sum(F.when(pnl < 0, pnl).otherwise(0.0)))).alias("profit_factor"))
+    """Totals of every account; rates of an account without realized trades or losses are NULL."""
+    base = fact.groupBy("account_address").agg(
+        F.count("trade_id").alias("total_trades"), F.count_if(F.col("is_closing_trade") == 1).alias("realized_trades"),
+        F.sum("closed_pnl").alias("total_realized_pnl"), F.avg("size_usd").alias("avg_position_size"),
+        F.count_if(F.col("is_win") == 1).alias("_wins"), profit_factor(no_loss="null").alias("profit_factor"))
+    # a trade that is not realized has no profit or loss, so the total is that of the realized ones
+    return base.select(
+        "account_address", "total_trades", "realized_trades", "total_realized_pnl",
+        F.try_divide("total_realized_pnl", "realized_trades").alias("avg_pnl_per_trade"), "avg_position_size",
+        F.try_divide(F.col("_wins").cast("double"), F.col("realized_trades")).alias("win_rate"), "profit_factor")
 
 
 def dim_coins(fact: DataFrame) -> DataFrame:
@@ -63,4 +64,4 @@ def dim_coins(fact: DataFrame) -> DataFrame:
         F.sum("closed_pnl").alias("total_realized_pnl"),
         F.avg("execution_price").alias("avg_execution_price"),
         F.avg("size_usd").alias("avg_trade_size"),
-        F.try_divide(F.sum("is_win").cast("double"), F.sum("is_closing_trade")).alias("win_rate"))
+        F.try_divide(F.count_if(F.col("is_win") == 1).cast("double"), F.count_if(F.col("is_closing_trade") == 1)).alias("win_rate"))

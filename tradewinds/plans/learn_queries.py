@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tradewinds import vocab
 from tradewinds.operators import learn, silver as sv
 from tradewinds.plans import oracle, testdata as td
 from tradewinds.plans.catalog import query
@@ -124,7 +125,7 @@ def train_compare(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    models = learn.train_compare(silver(spark, sf), names=["Random Forest"], trees=20)[1]
+    models = learn.train_compare(silver(spark, sf), names=["Random Forest"])[1]
     return learn.feature_importance(models["Random Forest"])
 
 
@@ -139,7 +140,7 @@ def predict_wins(spark, sf):
 
 FEATURES = ["leverage", "size_usd", "sentiment_score", "hour", "is_long", "is_monday"]
 _WEIGHT = {f: td.IMPORTANCES.get(f, 0.01) for f in FEATURES}
-_BASE = {"leverage": 8.5, "size_usd": 5000.0, "sentiment_score": 50.0, "hour": 12.0}
+_BASE = {f: rule[0] for f, rule in vocab.ATTRIBUTION_RULES.items()}
 
 
 def _attribution_sql() -> str:

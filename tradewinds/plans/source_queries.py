@@ -19,14 +19,14 @@ select account, coin, execution_price, size_usd, date_trunc('minute', ts) as ts,
 def read_fills(spark, sf):
     path = scratch_path(spark, "fills-csv")
     writers.write_ledger(td.bronze_fills(spark, sf).select(
-        "Account", "Coin", "Execution Price", "Size USD", "Timestamp IST", "Direction", "Closed PnL", "Trade ID"), path)
+        "Trade ID", F.lit("3.0").alias("Size Tokens"), "Size USD", "Account", "Closed PnL", "Coin", "Execution Price", "Timestamp IST", "Direction"), path)
     return readers.read_fills(spark, path).drop("fill_seq").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("read_sentiment", oracle.sql("select date, sentiment_score, sentiment_class from fx_sentiment", oracle.SENTIMENT))
 def read_sentiment(spark, sf):
     path = scratch_path(spark, "sentiment-csv")
-    writers.write_ledger(td.bronze_sentiment(spark, sf), path)
+    writers.write_ledger(td.bronze_sentiment(spark, sf).select("classification", F.lit(1).alias("timestamp"), "value", "date"), path)
     return readers.read_sentiment(spark, path)
 
 

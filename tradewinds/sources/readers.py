@@ -2,25 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradewinds import schemas
 from tradewinds.functions.trade import fill_time
 
 
+def by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A CSV file with a header, its columns found by name: the order of the file and further columns do not matter.
+
+    A column that the file lacks is NULL. A value that is not of its column's
+    type is NULL, and ``_corrupt_record`` then holds the row's values as JSON.
+    """
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    wanted = [f for f in schema if f.name != "_corrupt_record"]
+    raw = {f.name: F.col(f"`{f.name}`") if f.name in text.columns else F.lit(None).cast("string") for f in wanted}
+    values = {f.name: raw[f.name].try_cast(f.dataType) for f in wanted}
+    broken = F.lit(False)
+    for f in wanted:
+        broken = broken | (raw[f.name].isNotNull() & values[f.name].isNull())
+    return text.select(*(values[f.name].alias(f.name) for f in wanted), F.when(
+        broken, F.to_json(F.struct(*(raw[f.name].alias(f.name) for f in wanted)))).alias("_corrupt_record"))
+
+
 def read_bronze_fills(spark: SparkSession, path: str) -> DataFrame:
-    """Raw executions; a malformed line keeps its text in ``_corrupt_record``."""
-    return spark.read.schema(schemas.BRONZE_FILLS).option("header", True).option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+    """Raw executions; a malformed row keeps its text in ``_corrupt_record``."""
+    return by_header(spark, path, schemas.BRONZE_FILLS)
 
 
 def fills_from_bronze(bronze: DataFrame) -> DataFrame:
     """Library names, parsed time, and ``fill_seq``: a unique order for equal times.
 
+    Malformed rows are left out; they stay in the bronze table with their text.
     ``fill_seq`` depends on the input split, so write the result once
     (``write_table``) and read it back rather than recomputing it.
     """
-    return bronze.select(
+    return bronze.where("_corrupt_record is null").select(
         F.col("Account").alias("account"), F.col("Coin").alias("coin"),
         F.col("`Execution Price`").alias("execution_price"), F.col("`Size USD`").alias("size_usd"),
         fill_time("`Timestamp IST`").alias("ts"), F.col("Direction").alias("direction"),
@@ -33,7 +50,7 @@ def read_fills(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sentiment(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.BRONZE_SENTIMENT).option("header", True).csv(path).select(
+    return by_header(spark, path, schemas.BRONZE_SENTIMENT).where("_corrupt_record is null").select(
         "date", F.col("value").alias("sentiment_score"), F.col("classification").alias("sentiment_class"))
 
 

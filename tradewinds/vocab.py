@@ -40,21 +40,22 @@ URL_PATTERN = r"https?://\S+|www\.\S+"
 TOKEN_PATTERN = r"\b[a-zA-Z0-9$%\-\.]+\b"
 
 # ---- fixed values: stop words -----------------------------------------------
-STOP_WORDS = """
-a about above after again against all am an and any are arent as at
-be because been before being below between both but by can cant cannot
-co could couldnt did didnt do does doesnt doing dont down during each
-few for from further had hadnt has hasnt have havent having he hed
-hell hes her here heres hers herself him himself his how hows i id
-ill im ive if in into is isnt it its itself lets me more most
-mustnt my myself no nor not of off on once only or other ought
-our ours ourselves out over own same shant she shed shell shes should
-shouldnt so some such than that thats the their theirs them themselves
-then there theres these they theyd theyll theyre theyve this those through
-to too under until up very was wasnt we wed well were weve werent
-what whats when whens where wheres which while who whos whom why whys
-with wont would wouldnt you youd youll youre youve your yours yourself yourselves
-""".split()
+STOP_WORDS = [
+    "a", "about", "above", "after", "again", "against", "all", "am", "an", "and", "any", "are", "arent", "as",
+    "at", "be", "because", "been", "before", "being", "below", "between", "both", "but", "by", "can", "cant",
+    "cannot", "co", "could", "couldnt", "did", "didnt", "do", "does", "doesnt", "doing", "dont", "down",
+    "during", "each", "few", "for", "from", "further", "had", "hadnt", "has", "hasnt", "have", "havent",
+    "having", "he", "hed", "hell", "hes", "her", "here", "heres", "hers", "herself", "him", "himself", "his",
+    "how", "hows", "i", "id", "ill", "im", "ive", "if", "in", "into", "is", "isnt", "it", "its", "itself",
+    "lets", "me", "more", "most", "mustnt", "my", "myself", "no", "nor", "not", "of", "off", "on", "once",
+    "only", "or", "other", "ought", "our", "ours", "ourselves", "out", "over", "own", "same", "shant", "she",
+    "shed", "shell", "shes", "should", "shouldnt", "so", "some", "such", "than", "that", "thats", "the",
+    "their", "theirs", "them", "themselves", "then", "there", "theres", "these", "they", "theyd", "theyll",
+    "theyre", "theyve", "this", "those", "through", "to", "too", "under", "until", "up", "very", "was",
+    "wasnt", "we", "wed", "well", "were", "weve", "werent", "what", "whats", "when", "whens", "where",
+    "wheres", "which", "while", "who", "whos", "whom", "why", "whys", "with", "wont", "would", "wouldnt",
+    "you", "youd", "youll", "youre", "youve", "your", "yours", "yourself", "yourselves",
+]
 
 # ---- fixed values: sentiment lexicon ----------------------------------------
 LEXICON = {
@@ -165,6 +166,12 @@ CRITICAL_KEYWORDS = {
 }
 
 # ---- fixed values: attribution baselines ------------------------------------
-ATTRIBUTION_BASELINES = {"leverage": 8.5, "size_usd": 5000.0, "sentiment_score": 50.0, "hour": 12.0}
-FLAG_BASELINE = 0.25
+# feature: (baseline, unit of distance, turning point, sign up to it, sign above it)
+ATTRIBUTION_RULES = {
+    "leverage": (8.5, 8.5, 0.0, -1.0, -1.0),
+    "size_usd": (5000.0, 5000.0, 0.0, -1.0, -1.0),
+    "sentiment_score": (50.0, 50.0, 45.0, -0.5, 1.0),
+    "hour": (12.0, 12.0, 0.0, 1.0, 1.0),
+}
+FLAG_RULE = (0.25, 1.0, 0.0, 1.0, 1.0)
 DEFAULT_IMPORTANCE = 0.01
