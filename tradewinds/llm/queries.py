@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewinds.llm import ann, bpe, exact_dedup, jaccard_join, lang_id, lm_score, packing, repeats, sharding, toxicity
+from tradewinds.llm import (
+    ann, bpe, chosen_path, comparison, conversation_repair, exact_dedup, jaccard_join, lang_id, lm_score, merkle, packing, repeats, sharding, toxicity)
 from tradewinds.llm.common import crc_mod
 from tradewinds.session import cut_lineage
 
@@ -109,3 +110,34 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near duplicates; ``kept`` marks the least id of each (a null id is kept)."""
+    found = chosen_path.near_duplicates(documents(spark, sf_dir), k=5, percent=85)
+    return found.selectExpr("id as doc_id", "n_shingles", "component_id", "id <=> component_id as kept")
+
+
+ORACLES["op11_chosen_path"] = comparison.near_duplicates_sql(5, 85, kept=True)
+ORACLES["op4_parity_sketch_join"] = comparison.near_duplicates_sql(3, 90, kept=False)
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    rows = conversation_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_repair.reports(rows).withColumnRenamed("conv", "conv_id")
+
+
+ORACLES["op12_conversation_repair"] = comparison.conversations_sql()
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and its check for every document; a seventh of them is checked with one character more than it has."""
+    more = F.expr("n_chars + if(crc32(cast(cast(doc_id as string) as binary)) % 7 = 0, 1, 0)")
+    return merkle.manifest(documents(spark, sf_dir), changed={"n_chars": more}).withColumnRenamed("id", "doc_id")
+
+
+ORACLES["op13_merkle_manifest"] = comparison.manifest_sql()
