@@ -24,16 +24,14 @@ def make(spark, rows):
     return spark.createDataFrame(rows, "article_id long, tokens array<string>")
 
 
-def kept_ids(df, **kw):
-    return {r["article_id"] for r in near_dup.drop_near_duplicates(df, **kw).collect()}
+def kept_ids(df):
+    return {r["article_id"] for r in near_dup.drop_near_duplicates(df).collect()}
 
 
 def test_documents_against_brute_force(spark):
     docs = news.clean_articles(td.articles(spark, SF)).select("article_id", "tokens")
     expected = greedy([(r["article_id"], r["tokens"]) for r in docs.collect()])
     assert kept_ids(docs) == expected
-    assert kept_ids(docs, hot_rows=3) == expected
-    assert kept_ids(docs, pairs_per_set=0.0, hot_rows=5) == expected
 
 
 def test_chain_keeps_the_far_end(spark):
@@ -45,6 +43,35 @@ def test_chain_keeps_the_far_end(spark):
     assert kept_ids(make(spark, rows)) == {1, 3}
 
 
+def test_a_long_chain_is_followed_to_its_end(spark):
+    """Each story resembles the one before and after only: every other one stays."""
+    rows = [(i, [f"t{j}" for j in range(2 * i, 2 * i + 20)]) for i in range(25)]
+    assert greedy(rows) == set(range(0, 25, 2))
+    assert kept_ids(make(spark, rows)) == set(range(0, 25, 2))
+
+
+def test_a_family_of_ten_thousand(spark, monkeypatch):
+    """Ten thousand different edits of one story: one stays, and their fifty million pairs are never compared."""
+    rng = random.Random(11)
+    story = [f"w{i}" for i in range(30)]
+    rows = [(i, rng.sample(story, 29) + [f"e{i}"]) for i in range(10_000)]
+    rows += [(20_000 + i, [f"x{rng.randrange(400)}" for _ in range(15)]) for i in range(300)]
+    counted = []
+    scored = near_dup._scored
+    monkeypatch.setattr(near_dup, "_scored", lambda c, s, t: (counted.append(c.count()), scored(c, s, t))[1])
+    gone = near_dup.dropped_articles(make(spark, rows)).collect()
+    assert {r["article_id"] for r in gone if r["article_id"] < 20_000} == set(range(1, 10_000))
+    assert all(r["kept_id"] == 0 and r["jaccard"] > 0.7 for r in gone if r["article_id"] < 20_000)
+    assert sum(counted) < 100_000
+
+
+def test_the_kept_article_is_named(spark):
+    a = [f"t{i}" for i in range(10)]
+    rows = [(1, a), (2, a), (3, a[:9]), (4, ["other"]), (5, []), (6, [])]
+    gone = {r["article_id"]: (r["kept_id"], r["jaccard"]) for r in near_dup.dropped_articles(make(spark, rows)).collect()}
+    assert gone == {2: (1, 1.0), 3: (1, 0.9)}
+
+
 def test_exactly_at_the_threshold_is_kept(spark):
     a = [f"t{i}" for i in range(10)]
     assert kept_ids(make(spark, [(1, a), (2, a[:7])])) == {1, 2}
@@ -74,7 +101,6 @@ def test_families_of_near_copies(spark, seed):
     expected = greedy(rows)
     df = make(spark, rows)
     assert kept_ids(df) == expected
-    assert kept_ids(df, pairs_per_set=1.0, hot_rows=10) == expected
 
 
 def test_pairs_against_brute_force(spark):
@@ -86,7 +112,7 @@ def test_pairs_against_brute_force(spark):
     sets = sorted((i, s) for s, i in first.items())
     brute = {(i, j): len(a & b) / len(a | b) for n, (i, a) in enumerate(sets) for j, b in sets[n + 1:]
              if len(a & b) / len(a | b) > 0.7}
-    got = {(r["first"], r["second"]): r["jaccard"] for r in near_dup.jaccard_self_join(make(spark, rows), hot_rows=10).collect()}
+    got = {(r["first"], r["second"]): r["jaccard"] for r in near_dup.jaccard_self_join(make(spark, rows)).collect()}
     assert got.keys() == brute.keys() and all(got[k] == pytest.approx(v) for k, v in brute.items())
 
 

@@ -160,10 +160,9 @@ HEADER = "Account,Coin,Execution Price,Size USD,Timestamp IST,Direction,Closed P
 def test_read_fills_keeps_malformed_lines(spark, tmp_path):
     (tmp_path / "f.csv").write_text(HEADER + "a,BTC,1.5,100,25-05-2026 10:00,Buy,5,123456789012345\nb,ETH,oops,1,bad,Buy,0,2\n")
     bronze = readers.read_bronze_fills(spark, str(tmp_path)).persist()
-    rows = readers.fills_from_bronze(bronze).orderBy("fill_seq").collect()
-    assert rows[0]["trade_id"] == 123456789012345 and rows[1]["ts"] is None and rows[1]["execution_price"] is None
+    rows = readers.fills_from_bronze(bronze).collect()
+    assert [r["trade_id"] for r in rows] == [123456789012345]
     assert bronze.where("_corrupt_record is not null").count() == 1
-    assert len({r["fill_seq"] for r in rows}) == 2
 
 
 def test_read_articles_one_object_per_file(spark, tmp_path):

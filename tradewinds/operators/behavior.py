@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tradewinds.operators.ordered import MAX_ROWS, ORDER, bounded_frame
+from tradewinds.operators.ordered import BLOCK_ROWS, ORDER, bounded_frame
 from tradewinds.operators.silver import drop_unparsed_time, realized_trades
 
 GREED_ABOVE, FEAR_BELOW = 55, 40
@@ -14,24 +14,24 @@ BIASES = ["fomo_bias", "panic_bias", "overconfidence_bias", "loss_chasing_bias"]
 
 
 def trade_sequence(realized: DataFrame, streak: int = 3, order: Sequence[str] = ORDER,
-                   max_rows: int = MAX_ROWS) -> DataFrame:
+                   rows: int = BLOCK_ROWS) -> DataFrame:
     """Add the account's next trade (size, leverage, time) and whether a winning streak ends here.
 
     A streak of at least ``streak`` wins up to a row means the last ``streak``
     rows are all wins, so a bounded frame replaces the running counter.
     """
 
-    def compute(rows: DataFrame, part: list[str]) -> DataFrame:
+    def compute(trades: DataFrame, part: list[str]) -> DataFrame:
         spec = Window.partitionBy(*part).orderBy(*order)
         wins = F.sum("win_flag").over(spec.rowsBetween(-(streak - 1), 0))
-        return rows.withColumns({
+        return trades.withColumns({
             "next_size_usd": F.lead("size_usd").over(spec),
             "next_leverage": F.lead("leverage").over(spec),
             "next_ts": F.lead("ts").over(spec),
             "on_streak": F.coalesce(wins == streak, F.lit(False)),
         })
 
-    return bounded_frame(realized, ["account"], order, max(1, streak - 1), compute, max_rows)
+    return bounded_frame(realized, ["account"], order, max(1, streak - 1), compute, rows)
 
 
 def loss_chased() -> Column:
@@ -111,11 +111,11 @@ def trader_archetype() -> Column:
 
 
 def trader_personas(silver: DataFrame, min_trades: int = 5, order: Sequence[str] = ORDER,
-                    max_rows: int = MAX_ROWS) -> DataFrame:
+                    rows: int = BLOCK_ROWS) -> DataFrame:
     """Flags, score and archetype of every account with enough realized trades."""
     trades = drop_unparsed_time(realized_trades(silver)).select(
         "account", *order, "closed_pnl", "size_usd", "leverage", "sentiment_score", "win_flag")
-    profile = account_profile(trade_sequence(trades, order=order, max_rows=max_rows), min_trades)
+    profile = account_profile(trade_sequence(trades, order=order, rows=rows), min_trades)
     flagged = profile.withColumns({
         "fomo_bias": fomo_bias(), "panic_bias": panic_bias(), "overconfidence_bias": overconfidence_bias()})
     scored = flagged.withColumn("behavioral_risk_score", behavioral_risk_score())

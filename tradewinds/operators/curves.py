@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tradewinds.functions import sizing
-from tradewinds.operators.ordered import MAX_ROWS, ORDER, attach_by_key, running
+from tradewinds.operators.ordered import ORDER, SPAN, running
 from tradewinds.operators.silver import drop_unparsed_time, realized_trades
 
 START_CAPITAL = 100_000.0
@@ -33,7 +33,7 @@ def kelly_by_group(realized: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def equity_curve(silver: DataFrame, partition_by: Sequence[str] = (), capital: float = START_CAPITAL,
-                 order: Sequence[str] = ORDER, max_rows: int = MAX_ROWS) -> DataFrame:
+                 order: Sequence[str] = ORDER, span: str = SPAN) -> DataFrame:
     """Baseline, fixed-fractional and sentiment-Kelly balances after every realized trade.
 
     With ``partition_by`` each group has its own curve and its own Kelly fraction.
@@ -53,8 +53,7 @@ def equity_curve(silver: DataFrame, partition_by: Sequence[str] = (), capital: f
             (1 + RISK_SHARE * step).alias("_fixed"),
             (1 + sizing.size_sentiment_adjusted("kelly_fraction", "sentiment_score") * step).alias("_dynamic")),
         keys, order,
-        {"_base": ("sum", F.col("_gain")), "_f": ("product", F.col("_fixed")), "_d": ("product", F.col("_dynamic"))},
-        max_rows)
+        {"_base": ("sum", F.col("_gain")), "_f": ("product", F.col("_fixed")), "_d": ("product", F.col("_dynamic"))}, span)
     return curve.select(
         *keys, *order,
         (F.lit(capital) + F.col("_base")).alias("baseline_fixed"),
@@ -66,9 +65,9 @@ def latest_curve_points(curve: DataFrame, n: int = 100, order: Sequence[str] = O
     return curve.orderBy(*[F.desc(c) for c in order]).limit(n)
 
 
-def downsample(df: DataFrame, order: Sequence[str] = ORDER, target: int = 1000, max_rows: int = MAX_ROWS) -> DataFrame:
+def downsample(df: DataFrame, order: Sequence[str] = ORDER, target: int = 1000, span: str = SPAN) -> DataFrame:
     """Every k-th row with k = max(1, rows // target); all rows when there are at most ``target``."""
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     step = F.when(total > target, F.greatest(F.lit(1), F.floor(total / target))).otherwise(1)
-    indexed = running(df, [], order, {"_i": ("count", None)}, max_rows)
+    indexed = running(df, [], order, {"_i": ("count", None)}, span)
     return indexed.where((F.col("_i") - 1) % step == 0).drop("_i")

@@ -13,7 +13,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tradewinds import vocab
 from tradewinds.functions.trade import hash_uniform
-from tradewinds.operators.ordered import MAX_ROWS, running
+from tradewinds.operators.ordered import running
 from tradewinds.operators.performance import trader_aggs
 from tradewinds.operators.regimes import best_kmeans, name_clusters
 from tradewinds.operators.silver import realized_trades
@@ -70,12 +70,17 @@ def feature_stages() -> list:
     return [
         StringIndexer(inputCols=CATEGORICAL, outputCols=indexed, handleInvalid="keep"),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-        VectorAssembler(inputCols=[*NUMERIC, *encoded], outputCol="features"),
+        VectorAssembler(inputCols=[*NUMERIC, *encoded], outputCol="features", handleInvalid="keep"),
     ]
 
 
+def candidate_rows(silver: DataFrame) -> DataFrame:
+    return realized_trades(silver).select("trade_id", "fill_seq", LABEL, *NUMERIC, *CATEGORICAL)
+
+
 def model_rows(silver: DataFrame) -> DataFrame:
-    return realized_trades(silver).select("trade_id", "fill_seq", LABEL, *NUMERIC, *CATEGORICAL).dropna(subset=NUMERIC)
+    """The rows to learn from: realized trades that have all their numbers."""
+    return candidate_rows(silver).dropna(subset=NUMERIC)
 
 
 def encode_features(rows: DataFrame) -> PipelineModel:
@@ -89,19 +94,17 @@ def feature_names(encoder: PipelineModel) -> list[str]:
     return names
 
 
-def stratified_split(df: DataFrame, label: str = LABEL, key: str = "fill_seq", test: float = 0.3) -> DataFrame:
-    """Add ``is_test``; every label sends about ``test`` of its rows to the test side, fixed by a hash of the key."""
+def stratified_split(df: DataFrame, key: str = "fill_seq", test: float = 0.3) -> DataFrame:
+    """Add ``is_test`` by a hash of the key: about ``test`` of the rows, and so about that share of every label's."""
     return df.withColumn("is_test", hash_uniform(f"cast({key} as string)") < test)
 
 
-def stratified_split_exact(df: DataFrame, label: str = LABEL, key: str = "fill_seq", test: float = 0.3,
-                           max_rows: int = MAX_ROWS) -> DataFrame:
+def stratified_split_exact(df: DataFrame, label: str = LABEL, key: str = "fill_seq", test: float = 0.3) -> DataFrame:
     """Like ``stratified_split`` with exactly round(test * rows) test rows per label, in hash order."""
     sizes = df.groupBy(label).agg(F.round(F.count(F.lit(1)) * F.lit(test)).cast("bigint").alias("_want"))
     ranked = running(df.withColumn("_u", hash_uniform(f"cast({key} as string)")), [label], ["_u", key],
-                     {"_i": ("count", None)}, max_rows)
-    # one row per label
-    return ranked.join(F.broadcast(sizes), label).withColumn("is_test", F.col("_i") <= F.col("_want")).drop(
+                     {"_i": ("count", None)})
+    return ranked.join(sizes, label).withColumn("is_test", F.col("_i") <= F.col("_want")).drop(
         "_u", "_i", "_want")
 
 
@@ -114,12 +117,11 @@ def confusion_counts(scored: DataFrame, label: str = LABEL, pred: str = "predict
         F.count_if(y & ~p).alias("fn"), F.count_if(y & p).alias("tp"))
 
 
-def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability", by: Sequence[str] = (),
-            max_rows: int = MAX_ROWS) -> DataFrame:
+def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability", by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve: wins and losses per distinct score, then losses below each score."""
     per_score = scored.groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
-    below = running(per_score, list(by), [score], {"_neg_to": ("sum", F.col("_neg"))}, max_rows)
+    below = running(per_score, list(by), [score], {"_neg_to": ("sum", F.col("_neg"))})
     # doubles, because the number of (win, loss) pairs overflows 64 bits long before the data does
     pairs = F.col("_pos").cast("double") * (F.col("_neg_to") - F.col("_neg") / 2.0)
     return below.groupBy(*by).agg(F.try_divide(
@@ -127,7 +129,7 @@ def roc_auc(scored: DataFrame, label: str = LABEL, score: str = "probability", b
 
 
 def classification_metrics(scored: DataFrame, label: str = LABEL, pred: str = "prediction", score: str = "probability",
-                           by: Sequence[str] = (), max_rows: int = MAX_ROWS) -> DataFrame:
+                           by: Sequence[str] = ()) -> DataFrame:
     """Accuracy, precision, recall, F1 (0 on an empty denominator), confusion counts and ROC-AUC per group."""
     zero = F.lit(0.0)
     c = confusion_counts(scored, label, pred, by).withColumns({
@@ -136,7 +138,7 @@ def classification_metrics(scored: DataFrame, label: str = LABEL, pred: str = "p
         "recall": F.coalesce(F.try_divide("tp", F.col("tp") + F.col("fn")), zero),
         "f1_score": F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), zero),
     })
-    auc = roc_auc(scored, label, score, by, max_rows)
+    auc = roc_auc(scored, label, score, by)
     columns = [*by, "accuracy", "precision", "recall", "f1_score", "roc_auc", "tn", "fp", "fn", "tp"]
     if by:
         return c.join(auc, list(by)).select(*columns)
@@ -150,7 +152,7 @@ def select_best(comparison: DataFrame, metric: str = "f1_score", ordinal: str =
 
 # ---- training ---------------------------------------------------------------
 
-def classifiers(train_rows: int, trees: int = 100, depth: int = 12, boosted: bool = False) -> dict:
+def classifiers(train_rows: int, trees: int = 100, depth: int = 12, boosted: bool = False, rounds: int = 100) -> dict:
     common = {"labelCol": LABEL, "featuresCol": "features", "seed": 42}
     models = {
         "Random Forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, maxMemoryInMB=1024, **common),
@@ -159,11 +161,12 @@ def classifiers(train_rows: int, trees: int = 100, depth: int = 12, boosted: boo
             labelCol=LABEL, featuresCol="features", maxIter=1000, regParam=1.0 / max(train_rows, 1), standardization=False),
     }
     if boosted:
-        models["Gradient Boosting"] = GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.1, **common)
+        models["Gradient Boosting"] = GBTClassifier(maxIter=rounds, maxDepth=min(depth, 6), stepSize=0.1, **common)
     return models
 
 
-def _score(model, rows: DataFrame) -> DataFrame:
+def scored_rows(model, rows: DataFrame) -> DataFrame:
+    """The rows with ``win_probability`` and ``prediction`` of a fitted model."""
     out = model.transform(rows)
     return out.withColumn("win_probability", vector_to_array("probability")[1]).withColumn(
         "prediction", F.col("prediction").cast("int")).drop("probability", "rawPrediction")
@@ -192,7 +195,7 @@ def train_compare(silver: DataFrame, trees: int = 100, depth: int = 12, boosted:
         fitted = estimator.fit(encoded)
         models[name] = PipelineModel(stages=[*encoder.stages, fitted])
         # scored once and stored; both the counts and the curve read the stored scores
-        scored = cut_lineage(_score(fitted, held_out).select(LABEL, "prediction", "win_probability"))
+        scored = cut_lineage(scored_rows(fitted, held_out).select(LABEL, "prediction", "win_probability"))
         tables.append(classification_metrics(scored, score="win_probability").select(
             F.lit(ordinal).alias("ordinal"), F.lit(name).alias("model"), "*"))
     comparison = tables[0]
@@ -213,8 +216,12 @@ def feature_importance(model: PipelineModel) -> DataFrame:
 
 
 def predict_wins(model: PipelineModel, trades: DataFrame, cut: float = 0.55) -> DataFrame:
-    """Score a table of trades: probability, label and the sizing action."""
-    scored = _score(model, trades)
+    """Score a table of trades: probability, label and the sizing action. A trade that lacks a number has no score and is not approved."""
+    known = F.lit(True)
+    for c in NUMERIC:
+        known = known & F.col(c).isNotNull()
+    scored = scored_rows(model, trades).withColumns({
+        c: F.when(known, F.col(c)) for c in ("win_probability", "prediction")})
     return scored.withColumn(
         "action", F.when(F.col("win_probability") >= cut, "APPROVED").otherwise("SIZE DOWN / REJECT")).select(
         *trades.columns, "win_probability", "prediction", "action")
@@ -242,7 +249,8 @@ def linear_attribution(encoded: DataFrame, key: str, features: Sequence[str], im
     for feature in features:
         center, scale, turn, below, above = vocab.ATTRIBUTION_RULES.get(feature, vocab.FLAG_RULE)
         if baselines is not None and feature in baselines:
-            center = scale = baselines[feature]
+            center = baselines[feature]
+            scale = center if center > 0 else 1.0
         weight = importances.get(feature, vocab.DEFAULT_IMPORTANCE)
         rules.append(F.struct(F.lit(feature).alias("feature"), F.col(feature).cast("double").alias("feature_value"), *(
             F.lit(float(v)).alias(n) for n, v in (("center", center), ("scale", scale), ("turn", turn), ("below", below * weight), ("above", above * weight)))))

@@ -5,59 +5,49 @@ with a copy count, so a third of the corpus being one syndicated story costs
 one row. Pairs then come from prefix filtering: with all sets sorted by one
 total order, two sets whose Jaccard similarity exceeds t share a token within
 their first n - floor(t n) tokens. Candidates are verified on the full sets.
+
+Removal keeps the first of similar articles. Every set is compared with the
+holders of its prefix tokens in the order of their ids, in windows that grow
+round by round; it is dropped when it meets a similar kept one and kept when
+all earlier holders are done with. A family of similar articles is therefore
+compared with its first member, not with itself, and the rounds grow with the
+logarithm of the most frequent token.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradewinds.operators.ordered import running
 from tradewinds.session import cut_lineage
 
-MAX_FREQUENT_TOKENS = 200_000
-HOT_TOKEN_ROWS = 20_000
-PAIRS_PER_SET = 1000
+#: Growth of the windows of earlier holders, round by round.
+GROWTH = 4
 
 
 def token_sets(tokenized: DataFrame) -> DataFrame:
-    """One row per distinct non-empty token set: first article id, number of copies, size, sorted set."""
-    sets = tokenized.select("article_id", F.array_sort(F.array_distinct("tokens")).alias("tokens"))
-    return sets.where(F.size("tokens") > 0).groupBy("tokens").agg(
-        F.min("article_id").alias("id"), F.count(F.lit(1)).alias("copies")).select(
+    """One row per distinct non-empty token set: first article id, number of copies, size, sorted set.
+
+    Sets are grouped by 128 bits of hash, not by their tokens.
+    """
+    sets = tokenized.select("article_id", F.array_sort(F.array_distinct("tokens")).alias("tokens")).where(F.size("tokens") > 0)
+    keyed = sets.withColumns({"_a": F.xxhash64("tokens"), "_b": F.xxhash64(F.lit("second"), "tokens")})
+    return keyed.groupBy("_a", "_b").agg(
+        F.min("article_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens")).select(
         "id", "copies", F.size("tokens").alias("n"), "tokens")
 
 
 def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """(id, n, token, pos) for the prefix tokens of every set, rare tokens first.
-
-    Any total order gives the right pairs; a rare-first order gives few
-    candidates. Only the most frequent tokens carry a frequency (at most
-    MAX_FREQUENT_TOKENS rows, hence broadcast); all others rank as rare.
-    """
+    """(id, n, token, pos) for the prefix tokens of every set, rare tokens first; ties by token."""
     tokens = sets.select("id", "n", F.explode("tokens").alias("token"))
-    frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1").orderBy(
-        F.desc("f"), "token").limit(MAX_FREQUENT_TOKENS)
-    ranked = tokens.join(F.broadcast(frequent), "token", "left").groupBy("id", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "token"))).alias("ranked"))
+    frequency = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
+    ranked = tokens.join(frequency, "token").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("f", "token"))).alias("ranked"))
     length = (F.col("n") - F.floor(F.col("n") * F.lit(threshold))).cast("int")
     return ranked.select("id", "n", F.posexplode(F.slice("ranked", F.lit(1), length)).alias("pos", "r")).select(
         "id", "n", "pos", F.col("r.token").alias("token"))
 
 
-def _spread_hot(left: DataFrame, right: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Salt tokens that many sets share: rows of the left side are dealt over the salts, the right side is repeated.
-
-    The table of hot tokens has at most (prefix rows / hot_rows) rows; its size
-    decides at run time whether it is broadcast, so no hint is given.
-    """
-    hot = left.groupBy("token").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > hot_rows).select(
-        "token", F.ceil(F.col("_c") / hot_rows).cast("int").alias("_salts"))
-    salts = F.coalesce("_salts", F.lit(1))
-    dealt = left.join(hot, "token", "left").withColumn("_salt", F.pmod(F.xxhash64("id"), salts).cast("int"))
-    copied = right.join(hot, "token", "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    return dealt.drop("_salts"), copied.drop("_salts")
-
-
 def _may_match(threshold: float) -> Column:
     """Size and position filters; a pair above the threshold passes both at its first shared token."""
     na, nb = F.col("a.n"), F.col("b.n")
@@ -72,7 +62,10 @@ def _verify(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFra
     The candidates (two ids each) are stored first: verification is then planned
     with their real number instead of a guess about the self join.
     """
-    candidates = cut_lineage(candidates)
+    return _scored(cut_lineage(candidates), sets, threshold)
+
+
+def _scored(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     left = sets.select(F.col("id").alias("first"), F.col("tokens").alias("_ta"), F.col("n").alias("_na"))
     right = sets.select(F.col("id").alias("second"), F.col("tokens").alias("_tb"), F.col("n").alias("_nb"))
     both = F.size(F.array_intersect("_ta", "_tb"))
@@ -82,114 +75,101 @@ def _verify(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFra
                          ).where(F.col("jaccard") > threshold)
 
 
-def similar_sets(sets: DataFrame, prefix: DataFrame, threshold: float, hot_rows: int = HOT_TOKEN_ROWS) -> DataFrame:
-    """Pairs (first < second) of distinct token sets above the threshold."""
-    a, b = _spread_hot(prefix, prefix, hot_rows)
-    candidates = a.alias("a").join(
-        b.alias("b"),
-        (F.col("a.token") == F.col("b.token")) & (F.col("a._salt") == F.col("b._salt"))
-        & (F.col("a.id") < F.col("b.id")) & _may_match(threshold),
+def similar_sets(sets: DataFrame, prefix: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (first < second) of distinct token sets above the threshold. Tokens that many sets share are split by the
+    planner where they are skewed."""
+    candidates = prefix.alias("a").join(
+        prefix.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id")) & _may_match(threshold),
     ).select(F.col("a.id").alias("first"), F.col("b.id").alias("second")).distinct()
     return _verify(candidates, sets, threshold)
 
 
-def jaccard_self_join(tokenized: DataFrame, threshold: float = 0.70, hot_rows: int = HOT_TOKEN_ROWS) -> DataFrame:
+def jaccard_self_join(tokenized: DataFrame, threshold: float = 0.70) -> DataFrame:
     """All pairs of distinct token sets above the threshold, with the number of articles behind each side.
 
     Articles that share one token set are one row here: their mutual pairs are
-    implied by the copy count and never listed.
+    implied by the copy count and never listed. A large family of different
+    sets has as many pairs as it has by definition; ``near_duplicates`` removes
+    it without them.
     """
     sets = cut_lineage(token_sets(tokenized))
-    pairs = similar_sets(sets, cut_lineage(prefixes(sets, threshold)), threshold, hot_rows)
+    pairs = similar_sets(sets, cut_lineage(prefixes(sets, threshold)), threshold)
     copies = sets.select("id", "copies")
     return pairs.join(copies.select(F.col("id").alias("first"), F.col("copies").alias("first_copies")), "first").join(
         copies.select(F.col("id").alias("second"), F.col("copies").alias("second_copies")), "second").select(
         "first", "second", "jaccard", "first_copies", "second_copies")
 
 
-def _leaders(prefix: DataFrame) -> DataFrame:
-    """Sets that are the earliest holder of every one of their prefix tokens: nothing earlier can match them."""
-    earliest = prefix.groupBy("token").agg(F.min(F.struct("id", "n")).alias("m"))
-    won = earliest.groupBy("m.id", "m.n").agg(F.count(F.lit(1)).alias("_won"))
-    return won.join(prefix.groupBy("id").agg(F.count(F.lit(1)).alias("_has")), "id").where(
-        F.col("_won") == F.col("_has")).select("id")
-
+OPEN, KEPT, DROPPED = 0, 1, 2
 
-def _pair_load(prefix: DataFrame) -> float:
-    row = prefix.groupBy("token").agg(F.count(F.lit(1)).cast("double").alias("c")).agg(
-        F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()
-    return row[0] or 0.0
 
-
-def _dropped_by_leaders(sets: DataFrame, prefix: DataFrame, leaders: DataFrame, threshold: float,
-                        hot_rows: int) -> DataFrame:
-    """Sets similar to a leader. A token has at most one leader, so this is linear in the prefix rows."""
-    rest, heads = _spread_hot(prefix, prefix.join(leaders, "id", "left_semi"), hot_rows)
-    candidates = heads.alias("a").join(
-        rest.alias("b"),
-        (F.col("a.token") == F.col("b.token")) & (F.col("a._salt") == F.col("b._salt"))
-        & (F.col("a.id") < F.col("b.id")) & _may_match(threshold),
-    ).select(F.col("a.id").alias("first"), F.col("b.id").alias("second")).distinct()
-    return _verify(candidates, sets, threshold).select(F.col("second").alias("id")).distinct()
+def _decided(state: DataFrame, edges: DataFrame, done_to: Column) -> DataFrame:
+    """One step of keep-first: sets similar to a kept one go, sets whose earlier holders are all known and gone stay."""
+    sides = edges.join(state.select(F.col("id").alias("first"), F.col("status").alias("_s")), "first").where(F.col("_s") != DROPPED)
+    seen = sides.groupBy(F.col("second").alias("_id")).agg(
+        F.min(F.when(F.col("_s") == KEPT, F.struct("first", "jaccard"))).alias("_by"), F.count_if(F.col("_s") == OPEN).alias("_open"))
+    by = F.col("_by.first").isNotNull()
+    alone = (F.coalesce("_open", F.lit(0)) == 0) & done_to
+    is_open = F.col("status") == OPEN
+    return state.join(seen, state["id"] == seen["_id"], "left").select(
+        "id", "last", F.when(is_open & by, DROPPED).when(is_open & alone, KEPT).otherwise(F.col("status")).alias("status"),
+        F.when(is_open & by, F.col("_by.first")).otherwise(F.col("kept_id")).alias("kept_id"),
+        F.when(is_open & by, F.col("_by.jaccard")).otherwise(F.col("jaccard")).alias("jaccard"))
 
 
-def _peel(edges: DataFrame) -> DataFrame:
-    """Second members dropped by greedy keep-first over the pair graph.
+def near_duplicates(sets: DataFrame, threshold: float) -> DataFrame:
+    """``id, kept_id, jaccard`` of every token set that greedy keep-first drops, with the kept set that it resembles.
 
-    A set no undecided earlier set matches is kept and drops its later matches;
-    pairs of decided sets leave the graph; repeat until no pair is left.
+    A set is dropped when an earlier kept one is more similar than the
+    threshold. Each round stores its few columns, so a lost executor costs one round.
     """
-    dropped = edges.select(F.col("second").alias("id")).limit(0)
-    edges = cut_lineage(edges.select("first", "second"))
-    while not edges.isEmpty():
-        heads = edges.select("first").distinct().join(
-            edges.select(F.col("second").alias("first")), "first", "left_anti")
-        gone = cut_lineage(edges.join(heads, "first", "left_semi").select(F.col("second").alias("id")).distinct())
-        dropped = dropped.unionByName(gone)
-        edges = cut_lineage(
-            edges.join(heads, "first", "left_anti")
-            .join(gone.select(F.col("id").alias("first")), "first", "left_anti")
-            .join(gone.select(F.col("id").alias("second")), "second", "left_anti"))
-    return dropped
-
-
-def near_duplicate_ids(sets: DataFrame, threshold: float, hot_rows: int = HOT_TOKEN_ROWS,
-                       pairs_per_set: float = PAIRS_PER_SET) -> DataFrame:
-    """Ids of the token sets that greedy keep-first removes.
-
-    While the candidate pairs would outnumber the sets too far (families of
-    slightly different copies), rounds of leaders shrink the families first:
-    each round is linear and decides at least the earliest set. The pair graph
-    then handles what is left; both steps are exact.
-    """
-    dropped = sets.select("id").limit(0)
-    prefix = cut_lineage(prefixes(sets, threshold))
-    previous, idle = float("inf"), 0
+    prefix = prefixes(sets, threshold)
+    holders = cut_lineage(running(prefix, ["token"], ["id"], {"rank": ("count", None)}))
+    kind = sets.schema["id"].dataType
+    state = cut_lineage(holders.groupBy("id").agg(F.max("rank").alias("last")).select(
+        "id", "last", F.lit(OPEN).alias("status"), F.lit(None).cast(kind).alias("kept_id"), F.lit(None).cast("double").alias("jaccard")))
+    edges = tested = None
+    low, high = 0, 1
+    deepest = state.agg(F.max("last")).first()[0] or 0
     while True:
-        load = _pair_load(prefix)
-        if load <= max(pairs_per_set * prefix.select("id").distinct().count(), 1.0):
-            break
-        # rounds that no longer shrink the load have met no family: the pair join takes over
-        idle = idle + 1 if load > 0.8 * previous else 0
-        if idle == 3:
+        # a set's window: the holders of its tokens from rank low + 1 to high
+        waiting = holders.where(F.col("rank") > low + 1).join(state.where(F.col("status") == OPEN).select("id"), "id", "left_semi")
+        heads = holders.where((F.col("rank") > low) & (F.col("rank") <= high)).join(
+            state.where(F.col("status") != DROPPED).select("id"), "id", "left_semi")
+        candidates = heads.alias("a").join(
+            waiting.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.rank") < F.col("b.rank")) & _may_match(threshold),
+        ).select(F.col("a.id").alias("first"), F.col("b.id").alias("second")).distinct()
+        if tested is not None:
+            candidates = candidates.join(tested, ["first", "second"], "left_anti")
+        candidates = cut_lineage(candidates)
+        tested = candidates if tested is None else tested.unionByName(candidates)
+        found = cut_lineage(_scored(candidates, sets, threshold))
+        edges = found if edges is None else edges.unionByName(found)
+        state = cut_lineage(_decided(state, edges, F.col("last") <= high))
+        if high >= deepest:
             break
-        previous = load
-        leaders = cut_lineage(_leaders(prefix))
-        gone = cut_lineage(_dropped_by_leaders(sets, prefix, leaders, threshold, hot_rows))
-        dropped = dropped.unionByName(gone)
-        prefix = cut_lineage(prefix.join(leaders.unionByName(gone), "id", "left_anti"))
-    return dropped.unionByName(_peel(similar_sets(sets, prefix, threshold, hot_rows)))
+        low, high = high, high * GROWTH
+    while not state.where(F.col("status") == OPEN).isEmpty():
+        state = cut_lineage(_decided(state, edges, F.lit(True)))
+    return state.where(F.col("status") == DROPPED).select("id", "kept_id", "jaccard")
 
 
-def drop_near_duplicates(tokenized: DataFrame, threshold: float = 0.70, hot_rows: int = HOT_TOKEN_ROWS,
-                         pairs_per_set: float = PAIRS_PER_SET) -> DataFrame:
+def drop_near_duplicates(tokenized: DataFrame, threshold: float = 0.70) -> DataFrame:
     """Keep an article unless an earlier kept article (by ``article_id``) is more similar than the threshold.
 
-    Articles without tokens match nothing and stay.
+    Articles without tokens match nothing and stay. Of articles with one token
+    set the first stands for all.
     """
+    return tokenized.join(dropped_articles(tokenized, threshold).select("article_id"), "article_id", "left_anti").select(*tokenized.columns)
+
+
+def dropped_articles(tokenized: DataFrame, threshold: float = 0.70) -> DataFrame:
+    """``article_id, kept_id, jaccard`` of the articles that ``drop_near_duplicates`` removes, copies (similarity 1) among them."""
     sets = cut_lineage(token_sets(tokenized))
-    dropped = near_duplicate_ids(sets, threshold, hot_rows, pairs_per_set)
-    kept = sets.select("id").join(dropped, "id", "left_anti").select(
-        F.col("id").alias("article_id"), F.lit(True).alias("_kept"))
-    return tokenized.join(kept, "article_id", "left").where(
-        F.col("_kept") | (F.size("tokens") == 0)).drop("_kept")
+    gone = cut_lineage(near_duplicates(sets, threshold))
+    keyed = tokenized.where(F.size("tokens") > 0).select("article_id", F.array_sort(F.array_distinct("tokens")).alias("t")).select(
+        "article_id", F.xxhash64("t").alias("_a"), F.xxhash64(F.lit("second"), "t").alias("_b"))
+    firsts = sets.select(F.col("id").alias("_first"), F.xxhash64("tokens").alias("_a"), F.xxhash64(F.lit("second"), "tokens").alias("_b"))
+    placed = keyed.join(firsts, ["_a", "_b"]).join(gone.withColumnRenamed("id", "_first"), "_first", "left")
+    return placed.where(F.col("kept_id").isNotNull() | (F.col("article_id") != F.col("_first"))).select(
+        "article_id", F.coalesce("kept_id", "_first").alias("kept_id"), F.coalesce("jaccard", F.lit(1.0)).alias("jaccard"))

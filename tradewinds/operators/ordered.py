@@ -1,211 +1,170 @@
-"""Ordered scans that never put one long series into one task.
-
-A plain ``Window.partitionBy(key).orderBy(time)`` sends a whole series to one
-task. That is right for short series and wrong for a key that holds a third of
-the table. Every ordered operator here therefore goes through two layouts:
-
-* short series: the plain window, one shuffle;
-* long series: the rows are range-partitioned on (key, order), so a hot key is
-  spread over many equally large blocks, the block numbers are pinned by
-  writing the rows to the shared folder, windows run inside ``(key, block)``, and what a block
-  needs from the blocks before it comes from a summary of one row per
-  ``(key, block)``.
-
-Both layouts return the same rows. ``max_rows`` (rows of the longest series a
-single task may hold) chooses between them.
+"""Ordered scans in two levels, without ever holding a long series in one task.
+
+A series is cut into spans of its first order column (days of a time, ranges
+of a number). Windows run inside a (key, span) cell; a span is summed up by an
+associative summary of one row; windows over the summaries of a key, of which
+there are as many as spans and not as many as rows, give what lies before each
+span; and that carry-in is joined back by cell. Everything is one lazy plan:
+nothing is measured first, and the layout is the same at every size. Rows are
+shuffled by cell once: the join finds them where the window left them.
+
+Computations over neighbouring rows use the running row number, which cuts a
+series into blocks of equally many rows, whatever its spread in time.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
-from tradewinds.session import cut_lineage
-
-BLOCK = "_block"
-MAX_ROWS = 4_000_000
 ORDER = ("ts", "fill_seq")
 
+#: Span of a time column, and the number of ranges of a number between 0 and 1.
+SPAN = "day"
+RANGES = 4096
+
+#: Rows of a series that one task scans together with their neighbours.
+BLOCK_ROWS = 1 << 16
+
+BLOCK = "_block"
+CELL = ["_cell", "_cell_check"]
 _BEFORE = (Window.unboundedPreceding, -1)
 _SO_FAR = (Window.unboundedPreceding, 0)
 
 
-def series_lengths(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
-    """(longest series, all rows, number of series), from one map-side-combined count."""
-    row = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.max("_n").alias("longest"), F.sum("_n").alias("total"), F.count(F.lit(1)).alias("series"))
-        .first()
-    )
-    return row["longest"] or 0, row["total"] or 0, row["series"] or 0
+def span_of(df: DataFrame, column: str, span: str = SPAN) -> Column:
+    """A coarse value that never falls while the column rises; null stays null and comes first, like the column's."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc(span, c)
+    if isinstance(kind, T.DateType):
+        return F.date_trunc(span, c.cast("timestamp"))
+    if isinstance(kind, T.StringType):
+        return F.substring(c, 1, 2)
+    if isinstance(kind, T.IntegralType):
+        # ranges of the logarithm: some thousands for any 64-bit number
+        size = F.floor(F.ln(F.abs(c.cast("double")) + 1) * 512)
+        return F.when(c < 0, -size).otherwise(size)
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+        # numbers outside 0 to 1 share the outermost ranges
+        return F.floor(F.least(F.greatest(c.cast("double"), F.lit(0.0)), F.lit(1.0)) * RANGES)
+    raise ValueError(f"no spans for {column}: {kind.simpleString()}")
 
 
-def ordered_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS,
-                   count: int | None = None, sizes: tuple[int, int, int] | None = None) -> tuple[DataFrame, bool]:
-    """Add ``_block``; the flag says whether a series may span several blocks.
+def cell_of(columns: Sequence[Column]) -> dict[str, Column]:
+    """Two 64-bit hashes that name a cell. They are never null, so plain equality joins cells, nulls in keys included."""
+    parts = [p for c in columns for p in (c, c.isNull())]
+    return {CELL[0]: F.xxhash64(*parts), CELL[1]: F.xxhash64(F.lit("check"), *parts)}
 
-    ``sizes`` are the ``series_lengths`` of the same rows, when the caller has them already.
-    """
-    if count is None:
-        longest, total, _ = sizes or series_lengths(df, keys)
-        if longest <= max_rows:
-            return df.withColumn(BLOCK, F.lit(0)), False
-        count = math.ceil(total / max_rows) + 1
-    # the range boundaries come from a sample, so the block numbers are stored before anything reads them
-    ranged = df.repartitionByRange(count, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
-    return cut_lineage(ranged), True
 
+def cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], span: str = SPAN) -> DataFrame:
+    spanned = df.withColumn("_span", span_of(df, order[0], span))
+    return spanned.withColumns(cell_of([*map(F.col, keys), F.col("_span")]))
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[f"_k_{k}"])
-    return cond
 
+def _within(order: Sequence[str]) -> Window:
+    return Window.partitionBy(*CELL).orderBy(*order).rowsBetween(*_SO_FAR)
 
-def attach_by_key(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """NULL-safe broadcast join of a table known to be small (its bound is stated where it is called)."""
-    renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                           *[c for c in small.columns if c not in keys])
-    out = df.join(F.broadcast(renamed), _same_key(df, renamed, keys), how)
-    return out.drop(*[f"_k_{k}" for k in keys])
 
+def _across(keys: Sequence[str]) -> Window:
+    return Window.partitionBy(*keys).orderBy("_span").rowsBetween(*_BEFORE)
 
-def _continued(summary: DataFrame) -> DataFrame:
-    """Keep the (key, block) rows whose key started in an earlier block.
 
-    A range partition boundary cuts at most one key, so there is at most one
-    such row per block: the table is bounded by the number of blocks.
-    """
-    return summary.where(F.col("_earlier") > 0).drop("_earlier")
+_TOTAL = {"count": lambda c: F.count(F.lit(1)), "sum": F.sum, "max": F.max, "product": F.product}
+_AGAIN = {"count": F.sum, "sum": F.sum, "max": F.max, "product": F.product}
+_MERGE = {
+    "count": lambda local, carry: local + F.coalesce(carry, F.lit(0)),
+    "sum": lambda local, carry: F.when(carry.isNull(), local).otherwise(F.coalesce(local, F.lit(0)) + carry),
+    "max": lambda local, carry: F.greatest(local, carry),
+    "product": lambda local, carry: F.when(carry.isNull(), local).otherwise(F.coalesce(local, F.lit(1.0)) * carry),
+}
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: dict[str, tuple[str, Column | None]],
-            max_rows: int = MAX_ROWS, count: int | None = None) -> DataFrame:
+            span: str = SPAN) -> DataFrame:
     """Inclusive running aggregates over each series.
 
     ``specs`` maps an output column to ``(kind, expression)`` with kind one of
     ``count``, ``sum``, ``max``, ``product``.
     """
-    total = {
-        "count": lambda c: F.count(F.lit(1)),
-        "sum": F.sum,
-        "max": F.max,
-        "product": F.product,
-    }
-    merge = {
-        "count": lambda local, carry: local + F.coalesce(carry, F.lit(0)),
-        "sum": lambda local, carry: F.when(carry.isNull(), local).otherwise(F.coalesce(local, F.lit(0)) + carry),
-        "max": lambda local, carry: F.greatest(local, carry),
-        "product": lambda local, carry: F.when(carry.isNull(), local).otherwise(F.coalesce(local, F.lit(1.0)) * carry),
-    }
-    again = {"count": F.sum, "sum": F.sum, "max": F.max, "product": F.product}
-
-    blocks, split = ordered_blocks(df, keys, order, max_rows, count)
-    w = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(*_SO_FAR)
-    local = blocks.withColumns({name: total[kind](expr).over(w) for name, (kind, expr) in specs.items()})
-    if not split:
-        return local.drop(BLOCK)
-
-    across = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(*_BEFORE)
-    summary = blocks.groupBy(*keys, BLOCK).agg(
-        *[total[kind](expr).alias(name) for name, (kind, expr) in specs.items()])
-    carry = _continued(
-        summary.select(
-            *keys, BLOCK, F.count(F.lit(1)).over(across).alias("_earlier"),
-            *[again[kind](F.col(name)).over(across).alias(f"_in_{name}") for name, (kind, _) in specs.items()]))
-    joined = attach_by_key(local, carry, [*keys, BLOCK])
-    return joined.withColumns({
-        name: merge[kind](F.col(name), F.col(f"_in_{name}")) for name, (kind, _) in specs.items()
-    }).drop(BLOCK, *[f"_in_{name}" for name in specs])
+    placed = cells(df, keys, order, span)
+    local = placed.withColumns({name: _TOTAL[kind](expr).over(_within(order)) for name, (kind, expr) in specs.items()})
+    summary = placed.groupBy(*keys, "_span", *CELL).agg(*[_TOTAL[kind](expr).alias(name) for name, (kind, expr) in specs.items()])
+    carry = summary.select(*CELL, *[_AGAIN[kind](F.col(name)).over(_across(keys)).alias(f"_in_{name}") for name, (kind, _) in specs.items()])
+    joined = local.join(carry, CELL, "left")
+    return joined.withColumns({name: _MERGE[kind](F.col(name), F.col(f"_in_{name}")) for name, (kind, _) in specs.items()}).select(
+        *df.columns, *[name for name in specs if name not in df.columns])
+
+
+def blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = BLOCK_ROWS, span: str = SPAN) -> DataFrame:
+    """Adds ``_block``: every ``rows`` rows of a series in order are a block."""
+    numbered = running(df, keys, order, {"_nth": ("count", None)}, span)
+    return numbered.withColumn(BLOCK, F.expr(f"(_nth - 1) div {rows}")).drop("_nth")
 
 
 def bounded_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], reach: int,
-                  compute: Callable[[DataFrame, list[str]], DataFrame], max_rows: int = MAX_ROWS,
-                  count: int | None = None) -> DataFrame:
+                  compute: Callable[[DataFrame, list[str]], DataFrame], rows: int = BLOCK_ROWS, span: str = SPAN) -> DataFrame:
     """Apply a window computation that looks at most ``reach`` rows back or ahead.
 
-    ``compute(rows, partition_columns)`` adds its window columns. With split
-    series each block also receives copies of the ``reach`` rows next to it, and
-    the copies are removed afterwards.
+    ``compute(rows, partition_columns)`` adds its window columns. Each block
+    also gets copies of the ``reach`` rows on either side, which go afterwards.
     """
-    blocks, split = ordered_blocks(df, keys, order, max_rows, count)
-    if not split:
-        return compute(blocks.drop(BLOCK), list(keys))
-    if reach > 0:
-        sizes = blocks.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
-        per_key = Window.partitionBy(*keys)
-        inner = sizes.select(
-            "_n", F.min(BLOCK).over(per_key).alias("_first"), F.max(BLOCK).over(per_key).alias("_last"), BLOCK
-        ).where((F.col(BLOCK) > F.col("_first")) & (F.col(BLOCK) < F.col("_last")))
-        smallest = inner.agg(F.min("_n")).first()[0]
-        if smallest is not None and smallest < reach:
-            # a block in the middle of a series is shorter than the frame: use fewer, longer blocks
-            used = blocks.agg(F.max(BLOCK)).first()[0] + 1
-            return bounded_frame(df, keys, order, reach, compute, max_rows, count=max(1, used // 2))
-    place = Window.partitionBy(*keys, BLOCK)
-    ranked = blocks.withColumn("_rank", F.row_number().over(place.orderBy(*order))).withColumn(
-        "_size", F.count(F.lit(1)).over(place))
-    target = F.array_compact(F.array(
-        F.col(BLOCK),
-        F.when(F.col("_rank") > F.col("_size") - reach, F.col(BLOCK) + 1),
-        F.when(F.col("_rank") <= reach, F.col(BLOCK) - 1),
-    ))
-    haloed = (
-        ranked.withColumn("_target", F.explode(target)).withColumn("_home", F.col(BLOCK))
-        .withColumn(BLOCK, F.col("_target")).drop("_rank", "_size", "_target"))
-    done = compute(haloed, [*keys, BLOCK])
+    numbered = running(df, keys, order, {"_nth": ("count", None)}, span)
+    near = F.expr(f"sequence(greatest(0, _nth - 1 - {reach}) div {rows}, (_nth - 1 + {reach}) div {rows})")
+    copied = numbered.withColumn("_home", F.expr(f"(_nth - 1) div {rows}")).withColumn(BLOCK, F.explode(near)).drop("_nth")
+    done = compute(copied, [*keys, BLOCK])
     return done.where(F.col("_home") == F.col(BLOCK)).drop("_home", BLOCK)
 
 
-def drawdown_curve(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                   max_rows: int = MAX_ROWS) -> DataFrame:
+def drawdown_curve(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, span: str = SPAN) -> DataFrame:
     """Running total, running peak and their difference; the peak starts at the first total."""
-    blocks, split = ordered_blocks(df, keys, order, max_rows)
-    w = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(*_SO_FAR)
-    local = blocks.withColumn("cumulative", F.sum(value).over(w)).withColumn("peak", F.max("cumulative").over(w))
-    if split:
-        across = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(*_BEFORE)
-        carry = (
-            local.groupBy(*keys, BLOCK).agg(F.sum(value).alias("_total"), F.max("cumulative").alias("_high"))
-            .withColumn("_total_in", F.sum("_total").over(across))
-            .withColumn("_earlier", F.count(F.lit(1)).over(across))
-            .withColumn("_peak_in", F.max(F.col("_high") + F.coalesce("_total_in", F.lit(0.0))).over(across))
-            .select(*keys, BLOCK, "_earlier", "_total_in", "_peak_in"))
-        local = attach_by_key(local, _continued(carry), [*keys, BLOCK])
-        shift = F.coalesce("_total_in", F.lit(0.0))
-        local = local.withColumn("peak", F.greatest(F.col("peak") + shift, F.col("_peak_in"))).withColumn(
-            "cumulative", F.col("cumulative") + shift).drop("_total_in", "_peak_in")
-    return local.withColumn("drawdown", F.col("cumulative") - F.col("peak")).drop(BLOCK)
-
-
-def max_drawdown(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str],
-                 max_rows: int = MAX_ROWS, sizes: tuple[int, int, int] | None = None) -> DataFrame:
-    """Deepest fall below the running peak per series, for several value columns at once.
-
-    ``values`` maps output name to value column. Each block is reduced to
-    (total, high, low, drawdown); falls that cross blocks come from the blocks'
-    lows measured against the highest peak before them.
+    def scan(rows: DataFrame) -> DataFrame:
+        within = _within(order)
+        return rows.withColumn("cumulative", F.sum(value).over(within)).withColumn("peak", F.max("cumulative").over(within))
+
+    placed = cells(df, keys, order, span)
+    narrow = scan(placed.select(*dict.fromkeys((*keys, *order, value)), "_span", *CELL))
+    before = _across(keys)
+    carry = (
+        narrow.groupBy(*keys, "_span", *CELL).agg(F.sum(value).alias("_total"), F.max("cumulative").alias("_high"))
+        .withColumn("_total_in", F.sum("_total").over(before))
+        .withColumn("_peak_in", F.max(F.col("_high") + F.coalesce("_total_in", F.lit(0.0))).over(before))
+        .select(*CELL, "_total_in", "_peak_in"))
+    shift = F.coalesce("_total_in", F.lit(0.0))
+    joined = scan(placed).join(carry, CELL, "left").withColumn("peak", F.greatest(F.col("peak") + shift, F.col("_peak_in"))).withColumn(
+        "cumulative", F.col("cumulative") + shift)
+    return joined.withColumn("drawdown", F.col("cumulative") - F.col("peak")).select(*df.columns, "cumulative", "peak", "drawdown")
+
+
+def drawdown_states(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], span: str = SPAN) -> DataFrame:
+    """One mergeable state per series, span and value: ``_total, _high, _low, _dd``.
+
+    Total of the span; highest and lowest running total in it; deepest fall
+    inside it. ``merged_drawdowns`` makes the falls of whole series of them.
     """
-    needed = df.select(*keys, *order, *dict.fromkeys(values.values()))
-    blocks, split = ordered_blocks(needed, keys, order, max_rows, sizes=sizes)
-    w = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(*_SO_FAR)
-    names = list(values)
-    local = blocks.withColumns({f"_c_{n}": F.sum(values[n]).over(w) for n in names})
-    local = local.withColumns({f"_p_{n}": F.max(f"_c_{n}").over(w) for n in names})
-    per_block = local.groupBy(*keys, BLOCK).agg(*[
+    within, names = _within(order), list(values)
+    needed = df.select(*dict.fromkeys((*keys, *order, *values.values())))
+    local = cells(needed, keys, order, span)
+    local = local.withColumns({f"_c_{n}": F.sum(values[n]).over(within) for n in names})
+    local = local.withColumns({f"_p_{n}": F.max(f"_c_{n}").over(within) for n in names})
+    return local.groupBy(*keys, "_span", *CELL).agg(*[
         e for n in names for e in (
             F.sum(values[n]).alias(f"_total_{n}"), F.max(f"_c_{n}").alias(f"_high_{n}"),
-            F.min(f"_c_{n}").alias(f"_low_{n}"), F.min(F.col(f"_c_{n}") - F.col(f"_p_{n}")).alias(f"_dd_{n}"))])
-    if split:
-        across = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(*_BEFORE)
-        for n in names:
-            per_block = per_block.withColumn(
-                "_before", F.coalesce(F.sum(f"_total_{n}").over(across), F.lit(0.0)))
-            per_block = per_block.withColumn(
-                "_peak", F.max(F.col(f"_high_{n}") + F.col("_before")).over(across))
-            per_block = per_block.withColumn(
-                f"_dd_{n}", F.least(f"_dd_{n}", F.col(f"_low_{n}") + F.col("_before") - F.col("_peak")))
-    return per_block.groupBy(*keys).agg(*[F.coalesce(F.min(f"_dd_{n}"), F.lit(0.0)).alias(n) for n in names])
+            F.min(f"_c_{n}").alias(f"_low_{n}"), F.min(F.col(f"_c_{n}") - F.col(f"_p_{n}")).alias(f"_dd_{n}"))]).drop(*CELL)
+
+
+def merged_drawdowns(states: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Deepest fall of each series; falls over spans are the spans' lows below the highest peak before them."""
+    before = _across(keys)
+    for n in names:
+        states = states.withColumn("_before", F.coalesce(F.sum(f"_total_{n}").over(before), F.lit(0.0)))
+        states = states.withColumn("_peak", F.max(F.col(f"_high_{n}") + F.col("_before")).over(before))
+        states = states.withColumn(f"_dd_{n}", F.least(f"_dd_{n}", F.col(f"_low_{n}") + F.col("_before") - F.col("_peak")))
+    return states.groupBy(*keys).agg(*[F.coalesce(F.min(f"_dd_{n}"), F.lit(0.0)).alias(n) for n in names])
+
+
+def max_drawdown(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], span: str = SPAN) -> DataFrame:
+    """Deepest fall below the running peak per series, for several value columns at once (output name to column)."""
+    return merged_drawdowns(drawdown_states(df, keys, order, values, span), keys, list(values))

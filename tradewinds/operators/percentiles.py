@@ -1,11 +1,10 @@
-"""Exact percentiles, also for groups too large for one aggregation buffer.
+"""Exact percentiles by rank search over value ranges.
 
 The built-in ``percentile`` keeps every distinct value of a group in one
-buffer. For a group of billions of rows we instead (1) bracket each percentile
-with ``percentile_approx``, whose rank error is bounded, (2) count the rows
-below the bracket and keep only the values inside it, and (3) read the exact
-order statistics from those. Two scans, no shuffle of the full table, exact
-result: the counts prove that the bracket holds the wanted ranks.
+buffer. Here values are counted by coarse ranges, the range that holds a wanted
+rank is counted again in finer ones, and only the values of the finest range
+are looked at one by one. Counts combine before the shuffle, a group of any
+size spreads over its ranges, and the search is part of the lazy plan.
 """
 
 from __future__ import annotations
@@ -14,77 +13,88 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tradewinds.operators.ordered import attach_by_key, series_lengths
+from tradewinds.operators.ordered import CELL, cell_of
 
-MAX_BUFFER_ROWS = 4_000_000
-MAX_BROADCAST_GROUPS = 100_000
-ACCURACY = 100_000
+#: Coarse ranges per power of e, and finer ranges in each coarse one.
+PER_E = 32
+FINE = 1024
 
 
-def agg_with_percentiles(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-                         percentiles: dict[str, tuple[str, float]], max_rows: int = MAX_BUFFER_ROWS,
-                         accuracy: int = ACCURACY, sizes: tuple[int, int, int] | None = None) -> DataFrame:
-    """``groupBy(keys).agg(...)`` plus exact percentile columns ``name -> (column, p)``."""
-    longest, _, groups = sizes or series_lengths(df, keys)
-    if longest <= max_rows:
-        exact = [F.percentile(c, F.lit(p)).alias(name) for name, (c, p) in percentiles.items()]
-        return df.groupBy(*keys).agg(*aggs, *exact)
+def _coarse(v: Column) -> Column:
+    """A range number that never falls while the value rises; relative width 1 / PER_E. NaN comes last."""
+    size = F.least(F.greatest(F.floor(F.ln(F.abs(v)) * PER_E), F.lit(-40_000)), F.lit(40_000)) + 50_000
+    return F.when(F.isnan(v), F.lit(200_000)).when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
+
+
+def _at_rank(counted: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """Of rows that each stand for ``_c`` values of sum ``_s``, in the order of ``by``: those that hold the wanted rank.
+
+    ``_rank`` becomes the rank inside the row; ``_n_below`` and ``_s_below`` grow by what lies before it.
+    """
+    so_far = Window.partitionBy(*keys, "_i").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumns({"_to": F.sum("_c").over(so_far), "_sum_to": F.sum("_s").over(so_far)})
+    return placed.where((F.col("_to") - F.col("_c") <= F.col("_rank")) & (F.col("_rank") < F.col("_to"))).withColumns({
+        "_rank": F.col("_rank") - (F.col("_to") - F.col("_c")), "_n_below": F.col("_n_below") + F.col("_to") - F.col("_c"),
+        "_s_below": F.col("_s_below") + F.col("_sum_to") - F.col("_s")}).drop("_to", "_sum_to", by)
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], column: str, wanted: dict[str, float],
+                      tails: dict[str, str] | None = None) -> DataFrame:
+    """One row per group: ``keys`` and the percentiles (name to share), interpolated between neighbours. Nulls do not count.
+
+    ``tails`` adds the mean of the values at or below a percentile (name to the
+    percentile's name): the counts on the way to its rank hold their sums too.
+    """
+    keys = list(keys)
+    tally = [F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_s"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    carried = [*keys, "_i", "_rank", "_last", "_n_below", "_s_below"]
+    rows = df.select(*keys, F.col(column).cast("double").alias("_v")).where("_v is not null").withColumn("_range", _coarse(F.col("_v")))
+    rows = rows.withColumns(cell_of([*map(F.col, keys), F.col("_range")]))
+    coarse = rows.groupBy(*keys, "_range", *CELL).agg(*tally)
+    coarse = coarse.withColumns({"_last": F.sum("_c").over(Window.partitionBy(*keys)) - 1, "_n_below": F.lit(0).cast("long"), "_s_below": F.lit(0.0)})
+    ranks = [F.struct(F.lit(2 * i + up).alias("_i"), step(F.lit(float(p)) * F.col("_last")).alias("_rank"))
+             for i, p in enumerate(wanted.values()) for up, step in enumerate((F.floor, F.ceil))]
+    found = _at_rank(coarse.withColumn("_r", F.explode(F.array(*ranks))).select("*", "_r._i", "_r._rank").drop("_r"), keys, "_range")
+    values = rows.select(*CELL, "_v")
+
+    width = F.col("_hi") - F.col("_lo")
+    finer = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * FINE), F.lit(FINE - 1))).otherwise(0)
+    inside = found.join(values, CELL).withColumn("_fine", finer)
+    found = _at_rank(inside.groupBy(*carried, *CELL, "_fine").agg(*tally), keys, "_fine")
+
+    inside = found.join(values, CELL).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    single = inside.groupBy(*carried, "_v").agg(*tally[:2]).withColumns({"_value": F.col("_v"), "_n_here": F.col("_c"), "_s_here": F.col("_s")})
+    found = _at_rank(single, keys, "_v")
+
+    def at(target: int, value: Column) -> Column:
+        return F.max(F.when(F.col("_i") == target, value))
+
+    out, names = [], list(wanted)
+    for i, (name, p) in enumerate(wanted.items()):
+        low, high, place = at(2 * i, F.col("_value")), at(2 * i + 1, F.col("_value")), F.lit(float(p)) * F.max("_last")
+        out.append(F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place))).alias(name))
+    for name, of in (tails or {}).items():
+        # a percentile between two values has the lower one and all before it below
+        mean = (F.col("_s_below") + F.col("_s_here")) / (F.col("_n_below") + F.col("_n_here"))
+        out.append(at(2 * names.index(of), mean).alias(name))
+    return found.groupBy(*keys).agg(*out)
+
+
+def agg_with_percentiles(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], percentiles: dict[str, tuple[str, float]],
+                         tails: dict[str, str] | None = None) -> DataFrame:
+    """``groupBy(keys).agg(...)`` plus exact percentile columns ``name -> (column, share)`` and means of their ``tails``."""
     out = df.groupBy(*keys).agg(*aggs)
     for column in dict.fromkeys(c for c, _ in percentiles.values()):
         wanted = {name: p for name, (c, p) in percentiles.items() if c == column}
-        part = bracketed_percentiles(df, keys, column, wanted, groups, accuracy)
-        renamed = part.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *wanted)
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & out[k].eqNullSafe(renamed[f"_k_{k}"])
-        out = out.join(renamed, cond, "left").drop(*[f"_k_{k}" for k in keys])
+        part = exact_percentiles(df, keys, column, wanted, {t: of for t, of in (tails or {}).items() if of in wanted})
+        renamed = part.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        out = out.join(renamed, same_keys(out, renamed, keys), "left").drop(*[f"_k_{k}" for k in keys])
     return out
 
 
-def bracketed_percentiles(df: DataFrame, keys: Sequence[str], column: str, wanted: dict[str, float],
-                          groups: int, accuracy: int = ACCURACY) -> DataFrame:
-    slack = 4.0 / accuracy
-    names = list(wanted)
-    values = df.select(*keys, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    grid = [b for p in wanted.values() for b in (max(0.0, p - slack), min(1.0, p + slack))]
-    stats = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", [float(g) for g in grid], accuracy).alias("_grid"))
-    # a bracket narrower than a few rows could miss the neighbour rank: small groups keep all their values
-    few = F.col("_n") * slack < 8
-    brackets = stats.select(*keys, F.array(*[
-        F.struct(
-            F.lit(i).alias("i"),
-            (F.lit(float(p)) * (F.col("_n") - 1)).alias("rank"),
-            F.when(few | F.lit(p - slack <= 0), F.col("_min")).otherwise(F.col("_grid")[2 * i]).alias("lo"),
-            F.when(few | F.lit(p + slack >= 1), F.col("_max")).otherwise(F.col("_grid")[2 * i + 1]).alias("hi"))
-        for i, p in enumerate(wanted.values())]).alias("_brackets"))
-    if groups <= MAX_BROADCAST_GROUPS:
-        joined = attach_by_key(values, brackets, keys, "inner")
-    else:
-        renamed = brackets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_brackets")
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & values[k].eqNullSafe(renamed[f"_k_{k}"])
-        joined = values.join(renamed, cond).drop(*[f"_k_{k}" for k in keys])
-
-    # rows below a bracket collapse into one count; rows inside keep their value
-    spread = joined.select(*keys, "_v", F.explode("_brackets").alias("b")).where(F.col("_v") <= F.col("b.hi"))
-    inside = F.col("_v") >= F.col("b.lo")
-    counted = spread.groupBy(
-        *keys, F.col("b.i").alias("i"), F.col("b.rank").alias("rank"),
-        F.when(inside, F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys, "i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumn("_to", F.sum("_c").over(w)).withColumn("_from", F.col("_to") - F.col("_c"))
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col("_v")))
-
-    low, high = F.floor("rank"), F.ceil("rank")
-    picked = placed.groupBy(*keys, "i", "rank").agg(at(low).alias("a"), at(high).alias("b"))
-    value = F.when(
-        F.col("a").isNull() | F.col("b").isNull(),
-        F.raise_error(F.lit("percentile bracket missed its rank; raise the accuracy")).cast("double"),
-    ).otherwise(F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - F.floor("rank")))
-    return picked.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("i") == i, value)).alias(name) for i, name in enumerate(names)])
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Null-safe equality of ``keys`` with the columns ``_k_<key>`` of the right side."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"_k_{k}"])
+    return cond

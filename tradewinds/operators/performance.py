@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tradewinds import vocab
 from tradewinds.functions.risk import correlation, profit_factor
 from tradewinds.functions.trade import class_rank
-from tradewinds.operators.percentiles import MAX_BUFFER_ROWS, agg_with_percentiles
+from tradewinds.operators.percentiles import agg_with_percentiles
 from tradewinds.operators.silver import realized_trades
 
 
@@ -17,7 +17,7 @@ def order_by_class(df: DataFrame, col: str = "sentiment_class", order: Sequence[
     return df.orderBy(class_rank(col, order))
 
 
-def sentiment_performance(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) -> DataFrame:
+def sentiment_performance(silver: DataFrame) -> DataFrame:
     out = agg_with_percentiles(
         realized_trades(silver), ["sentiment_class"],
         [
@@ -31,11 +31,11 @@ def sentiment_performance(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) ->
             F.count("closed_pnl").alias("trade_count"),
             profit_factor().alias("profit_factor"),
         ],
-        {"median_pnl": ("closed_pnl", 0.5)}, max_rows)
+        {"median_pnl": ("closed_pnl", 0.5)})
     return order_by_class(out)
 
 
-def leverage_by_sentiment(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) -> DataFrame:
+def leverage_by_sentiment(silver: DataFrame) -> DataFrame:
     out = agg_with_percentiles(
         silver, ["sentiment_class"],
         [
@@ -43,7 +43,7 @@ def leverage_by_sentiment(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) ->
             F.max("leverage").alias("max_leverage"),
             F.count("leverage").alias("total_trades"),
         ],
-        {"median_leverage": ("leverage", 0.5)}, max_rows)
+        {"median_leverage": ("leverage", 0.5)})
     return order_by_class(out)
 
 
@@ -57,7 +57,7 @@ def leverage_distribution(silver: DataFrame) -> DataFrame:
     return order_by_class(share)
 
 
-def frequency_sizing(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) -> DataFrame:
+def frequency_sizing(silver: DataFrame) -> DataFrame:
     # a set of days is bounded by the calendar and combines map-side, whereas a
     # distinct count would shuffle partial rows by (class, date)
     out = agg_with_percentiles(
@@ -68,7 +68,7 @@ def frequency_sizing(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) -> Data
             F.avg("size_usd").alias("avg_trade_size"),
             F.size(F.collect_set("date")).cast("bigint").alias("unique_days"),
         ],
-        {"median_trade_size": ("size_usd", 0.5)}, max_rows)
+        {"median_trade_size": ("size_usd", 0.5)})
     rated = out.withColumns({
         "avg_trades_per_day": F.try_divide("total_trades", "unique_days"),
         "avg_volume_per_day": F.try_divide("total_volume", "unique_days"),
@@ -96,7 +96,7 @@ def coin_overall(silver: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_pnl"), "coin")
 
 
-def leverage_binned(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) -> DataFrame:
+def leverage_binned(silver: DataFrame) -> DataFrame:
     return agg_with_percentiles(
         realized_trades(silver), ["leverage_bucket"],
         [
@@ -106,7 +106,7 @@ def leverage_binned(silver: DataFrame, max_rows: int = MAX_BUFFER_ROWS) -> DataF
             F.sum("closed_pnl").alias("total_pnl"),
             F.count("closed_pnl").alias("trade_count"),
         ],
-        {"median_pnl": ("closed_pnl", 0.5)}, max_rows)
+        {"median_pnl": ("closed_pnl", 0.5)})
 
 
 def trader_aggs() -> list:

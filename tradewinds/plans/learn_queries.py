@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradewinds import vocab
-from tradewinds.operators import learn, silver as sv
+from tradewinds.operators import forest, learn, model_choice, silver as sv
 from tradewinds.plans import oracle, testdata as td
 from tradewinds.plans.catalog import query
 from tradewinds.plans.compare import real, steady
-from tradewinds.plans.trade_queries import TRADER_SQL, silver
+from tradewinds.plans.trade_queries import TRADER_SQL, silver, silver_inputs
+from tradewinds.sources import layers
 
 # ---- segments ---------------------------------------------------------------
 
@@ -118,22 +119,74 @@ def encode_features(spark, sf):
         "fill_seq", "win_flag", F.col("features").cast("string").alias("features"))
 
 
+#: Folds, trees, depth and boosting rounds of the registered queries.
+FOLDS, TREES, DEPTH, ROUNDS = 3, 20, 8, 10
+
+
+def chosen(spark, sf):
+    """Path of the stored choice for the present tables: ``scores``, ``comparison`` and a model per candidate."""
+    path = layers.layer_path(spark, f"win_model_{FOLDS}_{TREES}_{DEPTH}_{ROUNDS}", silver_inputs(sf))
+    if not layers.is_complete(spark, path):
+        choice = model_choice.choose(silver(spark, sf), FOLDS, TREES, DEPTH, ROUNDS)
+        choice.scores.write.mode("overwrite").parquet(f"{path}/scores")
+        choice.comparison.write.mode("overwrite").parquet(f"{path}/comparison")
+        for name, model in choice.models.items():
+            learn.save_model(model, f"{path}/models/{name.replace(' ', '_')}")
+        layers.mark_complete(spark, path)
+    return path
+
+
+def stored_model(spark, sf, name):
+    return learn.load_model(f"{chosen(spark, sf)}/models/{name.replace(' ', '_')}")
+
+
+def winner(spark, sf):
+    """The fitted model with the best F1 over its out-of-fold scores."""
+    best = learn.select_best(spark.read.parquet(f"{chosen(spark, sf)}/comparison")).first()["model"]
+    return stored_model(spark, sf, best)
+
+
+@query("stratified_folds", oracle.on_silver(f"""
+select fill_seq, win_flag, cast((i - 1) % 3 as int) as fold
+from (select fill_seq, win_flag, row_number() over (partition by win_flag order by {UNIFORM_SQL}, fill_seq) as i from realized)"""))
+def stratified_folds(spark, sf):
+    rows = sv.realized_trades(silver(spark, sf)).select("fill_seq", "win_flag")
+    return model_choice.with_folds(rows, FOLDS).select("fill_seq", "win_flag", "fold")
+
+
+@query("out_of_fold_scores")
+def out_of_fold_scores(spark, sf):
+    return spark.read.parquet(f"{chosen(spark, sf)}/scores")
+
+
 @query("train_compare")
 def train_compare(spark, sf):
-    return learn.train_compare(silver(spark, sf))[0]
+    return spark.read.parquet(f"{chosen(spark, sf)}/comparison")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    models = learn.train_compare(silver(spark, sf), names=["Random Forest"])[1]
-    return learn.feature_importance(models["Random Forest"])
+    return learn.feature_importance(winner(spark, sf))
 
 
 @query("predict_wins")
 def predict_wins(spark, sf):
-    trades = silver(spark, sf)
-    models = learn.train_compare(trades, names=["Logistic Regression"])[1]
-    return learn.predict_wins(models["Logistic Regression"], learn.model_rows(trades))
+    return learn.predict_wins(winner(spark, sf), learn.candidate_rows(silver(spark, sf)))
+
+
+@query("forest_attribution")
+def forest_attribution(spark, sf):
+    trades = learn.model_rows(silver(spark, sf))
+    return forest.forest_attribution(stored_model(spark, sf, "Random Forest"), trades)[0]
+
+
+@query("forest_importance")
+def forest_importance(spark, sf):
+    """Mean absolute contribution of each feature over all trades; a trade that a feature did not move counts as 0."""
+    trades = learn.model_rows(silver(spark, sf))
+    parts = forest.forest_attribution(stored_model(spark, sf, "Random Forest"), trades)[0]
+    rows = trades.agg(F.count(F.lit(1))).scalar()
+    return parts.groupBy("feature").agg((F.sum(F.abs("contribution")) / rows).alias("importance"))
 
 
 # ---- attribution ------------------------------------------------------------

@@ -48,7 +48,12 @@ _account_metric("sharpe_ratio", f"case when {VOL_SQL} > 0 then avg(roe) / {VOL_S
 _account_metric("sortino_ratio",
                 f"case when {DOWNSIDE_SQL} > 0 then avg(roe) / ({DOWNSIDE_SQL}) * sqrt(365e0) else 0e0 end",
                 lambda: r.sortino_ratio("roe"))
-_account_metric("value_at_risk", "quantile_cont(closed_pnl, 0.05)", lambda: r.value_at_risk("closed_pnl"))
+
+
+@query("value_at_risk", oracle.on_silver(f"select account, {real('quantile_cont(closed_pnl, 0.05)')} as value_at_risk from realized group by account"))
+def value_at_risk(spark, sf):
+    return steady(risk.value_at_risk(realized(spark, sf), ["account"], "closed_pnl", {"value_at_risk": 0.95}), real=["value_at_risk"])
+
 
 DRAWDOWN_CTE = """
 dd_cum as (select *, sum({v}) over (partition by {k} order by ts, fill_seq rows between unbounded preceding and current row) as cumulative
@@ -112,8 +117,7 @@ select r.sentiment_class, {real('avg(closed_pnl) filter (closed_pnl <= var_95)')
        {real('avg(closed_pnl) filter (closed_pnl <= var_99)')} as cvar_99
 from realized r join var_by_class v on r.sentiment_class = v.sentiment_class group by r.sentiment_class""", VAR_CTE))
 def expected_shortfall(spark, sf):
-    out = risk.expected_shortfall(realized(spark, sf), class_var(spark, sf), ["sentiment_class"], "closed_pnl",
-                                  {"cvar_95": "var_95", "cvar_99": "var_99"})
+    out = risk.expected_shortfall(realized(spark, sf), ["sentiment_class"], "closed_pnl", {"cvar_95": 0.95, "cvar_99": 0.99})
     return steady(out, real=["cvar_95", "cvar_99"])
 
 
