@@ -29,6 +29,7 @@ RANGES = 4096
 BLOCK_ROWS = 1 << 16
 
 BLOCK = "_block"
+NTH = "_nth"
 CELL = ["_cell", "_cell_check"]
 _BEFORE = (Window.unboundedPreceding, -1)
 _SO_FAR = (Window.unboundedPreceding, 0)
@@ -100,22 +101,38 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: dic
 
 def blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = BLOCK_ROWS, span: str = SPAN) -> DataFrame:
     """Adds ``_block``: every ``rows`` rows of a series in order are a block."""
-    numbered = running(df, keys, order, {"_nth": ("count", None)}, span)
-    return numbered.withColumn(BLOCK, F.expr(f"(_nth - 1) div {rows}")).drop("_nth")
+    numbered = running(df, keys, order, {NTH: ("count", None)}, span)
+    return numbered.withColumn(BLOCK, F.expr(f"({NTH} - 1) div {rows}")).drop(NTH)
 
 
 def bounded_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], reach: int,
                   compute: Callable[[DataFrame, list[str]], DataFrame], rows: int = BLOCK_ROWS, span: str = SPAN) -> DataFrame:
     """Apply a window computation that looks at most ``reach`` rows back or ahead.
 
-    ``compute(rows, partition_columns)`` adds its window columns. Each block
-    also gets copies of the ``reach`` rows on either side, which go afterwards.
+    ``compute(rows, partition_columns)`` adds its window columns; the rows carry
+    their number in the series as ``_nth``. Each block also gets copies of the
+    ``reach`` rows on either side, which go afterwards.
     """
-    numbered = running(df, keys, order, {"_nth": ("count", None)}, span)
-    near = F.expr(f"sequence(greatest(0, _nth - 1 - {reach}) div {rows}, (_nth - 1 + {reach}) div {rows})")
-    copied = numbered.withColumn("_home", F.expr(f"(_nth - 1) div {rows}")).withColumn(BLOCK, F.explode(near)).drop("_nth")
+    numbered = running(df, keys, order, {NTH: ("count", None)}, span)
+    near = F.expr(f"sequence(greatest(0, {NTH} - 1 - {reach}) div {rows}, ({NTH} - 1 + {reach}) div {rows})")
+    copied = numbered.withColumn("_home", F.expr(f"({NTH} - 1) div {rows}")).withColumn(BLOCK, F.explode(near))
     done = compute(copied, [*keys, BLOCK])
-    return done.where(F.col("_home") == F.col(BLOCK)).drop("_home", BLOCK)
+    return done.where(F.col("_home") == F.col(BLOCK)).drop("_home", BLOCK, NTH)
+
+
+def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, order: str, columns: dict[str, str], span: str = SPAN) -> DataFrame:
+    """Every left row with the last right row of its series from before its time: new name to right column, NULL where there is none.
+
+    One ordered scan over both tables in place of a join on a range. At equal
+    times left rows come first, so a row never sees what happens at its own
+    moment; of right rows at one time the last by ``order`` counts.
+    """
+    seen = F.struct(F.col(time).alias("t"), F.col(order).alias("o"), *[F.col(c).alias(name) for name, c in columns.items()])
+    marked = left.select(*keys, F.col(time).alias("_t"), F.lit(0).alias("_side"), F.struct(*left.columns).alias("_row"))
+    told = right.select(*keys, F.col(time).alias("_t"), F.lit(1).alias("_side"), seen.alias("_seen"))
+    both = marked.unionByName(told, allowMissingColumns=True)
+    last = running(both, keys, ["_t", "_side"], {"_last": ("max", F.col("_seen"))}, span)
+    return last.where("_side = 0").select("_row.*", *[F.col(f"_last.{name}").alias(name) for name in columns])
 
 
 def drawdown_curve(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, span: str = SPAN) -> DataFrame:

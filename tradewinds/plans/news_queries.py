@@ -12,14 +12,20 @@ from tradewinds.plans.catalog import query
 from tradewinds.plans.compare import real, steady
 from tradewinds.plans.risk_queries import DAILY_CTE, REGIME_SQL, STEADY_CTE, ruled_days
 from tradewinds.plans.trade_queries import silver
+from tradewinds.sources import layers
 
 
 def cleaned(spark, sf):
     return news.clean_articles(td.articles(spark, sf))
 
 
+def kept(spark, sf):
+    """The cleaned articles without their near duplicates: stored once, read by every later stage."""
+    return layers.stored(spark, "clean_news", [f"{sf}/documents.parquet"], lambda: near_dup.drop_near_duplicates(cleaned(spark, sf)))
+
+
 def scored(spark, sf):
-    return news.lexicon_sentiment(cleaned(spark, sf), td.LEXICON)
+    return news.lexicon_sentiment(kept(spark, sf), td.LEXICON)
 
 
 def scores(spark, sf):
@@ -97,35 +103,12 @@ def light_stem(spark, sf):
 
 # ---- near duplicates --------------------------------------------------------
 
-PAIRS_CTE = """
-token_rows as (select article_id, unnest(list_distinct(tokens)) as token from tokenized),
-set_sizes as (select article_id, count(*) as n from token_rows group by article_id),
-pairs as (
-  select a as first, b as second, shared * 1e0 / (x.n + y.n - shared) as jaccard
-  from (select p.article_id as a, q.article_id as b, count(*) as shared
-        from token_rows p join token_rows q on p.token = q.token and p.article_id < q.article_id group by 1, 2) c
-  join set_sizes x on x.article_id = a join set_sizes y on y.article_id = b
-  where shared * 1e0 / (x.n + y.n - shared) > 0.70e0)"""
-
 SETS_CTE = """
 distinct_sets as (
   select min(article_id) as id, count(*) as copies
   from (select article_id, list_sort(list_distinct(tokens)) as s from tokenized where len(tokens) > 0) group by s)"""
 
 
-def _greedy_cte(rounds: int) -> str:
-    """Greedy keep-first over ``pairs``, unrolled far enough for this data (checked by the leftover column)."""
-    parts = ["e0 as (select first, second from pairs)"]
-    for i in range(rounds):
-        parts.append(f"heads{i} as (select distinct first as id from e{i} where first not in (select second from e{i}))")
-        parts.append(f"gone{i} as (select distinct second as id from e{i} where first in (select id from heads{i}))")
-        parts.append(f"e{i + 1} as (select * from e{i} where first not in (select id from heads{i}) "
-                     f"and first not in (select id from gone{i}) and second not in (select id from gone{i}))")
-    parts.append("dropped as (" + " union ".join(f"select id from gone{i}" for i in range(rounds)) + ")")
-    return ",\n".join(parts)
-
-
-GREEDY_CTE = _greedy_cte(6)
 
 
 @query("jaccard", oracle.sql(f"""
@@ -143,7 +126,7 @@ def jaccard(spark, sf):
 @query("jaccard_self_join", oracle.sql(f"""
 select first, second, {real('jaccard')} as jaccard, f.copies as first_copies, s.copies as second_copies
 from pairs join distinct_sets f on f.id = first join distinct_sets s on s.id = second""",
-    oracle.ARTICLES, oracle.TOKENS, PAIRS_CTE, SETS_CTE))
+    oracle.ARTICLES, oracle.TOKENS, oracle.PAIRS, SETS_CTE))
 def jaccard_self_join(spark, sf):
     return steady(near_dup.jaccard_self_join(cleaned(spark, sf)), real=["jaccard"])
 
@@ -151,7 +134,7 @@ def jaccard_self_join(spark, sf):
 @query("drop_near_duplicates", oracle.sql("""
 select article_id, title, source from tokenized
 where article_id not in (select id from dropped) or (select count(*) from e6) > 0""",
-    oracle.ARTICLES, oracle.TOKENS, PAIRS_CTE, GREEDY_CTE))
+    oracle.ARTICLES, oracle.TOKENS, oracle.PAIRS, oracle.GREEDY))
 def drop_near_duplicates(spark, sf):
     return near_dup.drop_near_duplicates(cleaned(spark, sf)).select("article_id", "title", "source")
 
@@ -159,7 +142,7 @@ def drop_near_duplicates(spark, sf):
 @query("clean_news", oracle.sql("""
 select article_id, title, content_clean, array_to_string(tokens, '|') as tokens, source, author, published_date from tokenized
 where article_id not in (select id from dropped) or (select count(*) from e6) > 0""",
-    oracle.ARTICLES, oracle.TOKENS, PAIRS_CTE, GREEDY_CTE))
+    oracle.ARTICLES, oracle.TOKENS, oracle.PAIRS, oracle.GREEDY))
 def clean_news(spark, sf):
     return near_dup.drop_near_duplicates(cleaned(spark, sf)).select(
         "article_id", "title", "content_clean", joined("tokens").alias("tokens"), "source", "author", "published_date")
@@ -171,7 +154,7 @@ def clean_news(spark, sf):
     "select article_id, token, weight, count(*) as hits from hits join lexicon using (token) group by all"))
 def lexicon_join(spark, sf):
     table = spark.createDataFrame(list(td.LEXICON.items()), "token string, weight double")
-    hits = news.lexicon_join(cleaned(spark, sf), table)
+    hits = news.lexicon_join(kept(spark, sf), table)
     return hits.groupBy("article_id", "token", "weight").agg(F.count(F.lit(1)).alias("hits"))
 
 
@@ -227,11 +210,11 @@ ENTITY_CTES = (oracle.ENTITY_ROWS, oracle.ENTITIES)
 
 
 @query("entity_dictionary_join", oracle.sql("""
-select article_id, entity, entity_type, published_date from cleaned a
+select article_id, entity, entity_type, published_date from kept a
 join entity_dictionary d on regexp_matches(lower(a.content_clean), concat('\\b', d.keyword, '\\b'))""",
-    oracle.ARTICLES, oracle.TOKENS, oracle.ENTITY_ROWS))
+    *oracle.KEPT_CTES, oracle.ENTITY_ROWS))
 def entity_dictionary_join(spark, sf):
-    return news.entity_rows(news.extract_entities(cleaned(spark, sf), td.ENTITIES))
+    return news.entity_rows(news.extract_entities(kept(spark, sf), td.ENTITIES))
 
 
 @query("extract_entities", oracle.on_news(
@@ -247,7 +230,7 @@ select article_id, entity, entity_type,
 from entities""", *ENTITY_CTES))
 def entity_sentiment_join(spark, sf):
     # every seventh article has no score: its entities get 0.0
-    rows = news.entity_rows(news.extract_entities(cleaned(spark, sf), td.ENTITIES))
+    rows = news.entity_rows(news.extract_entities(kept(spark, sf), td.ENTITIES))
     known = scores(spark, sf).where(F.col("article_id") % 7 != 0)
     return steady(news.entity_sentiment_join(rows, known), real=["sentiment_association"])
 
@@ -255,7 +238,7 @@ def entity_sentiment_join(spark, sf):
 @query("distinct_entities", oracle.on_news(
     "select article_id, count(*) as n_entities from entities group by article_id", *ENTITY_CTES))
 def distinct_entities(spark, sf):
-    found = news.extract_entities(cleaned(spark, sf), td.ENTITIES).where(F.size("extracted_entities") > 0)
+    found = news.extract_entities(kept(spark, sf), td.ENTITIES).where(F.size("extracted_entities") > 0)
     return found.select("article_id", F.size("extracted_entities").cast("bigint").alias("n_entities"))
 
 
@@ -334,41 +317,56 @@ def _theme_sql() -> str:
     return f"case when {best} = 0 then 'Macroeconomic Events' {cases} end"
 
 
-THEME_CTE = f"themes as (select article_id, title, published_date, {_theme_sql()} as topic_theme from tokenized)"
+THEME_CTE = f"themes as (select article_id, title, published_date, {_theme_sql()} as topic_theme from kept)"
 
 
 def themed(spark, sf):
-    return cleaned(spark, sf).select("article_id", "title", "published_date", x.theme_of_words("tokens", td.THEMES).alias("topic_theme"))
+    return kept(spark, sf).select("article_id", "title", "published_date", x.theme_of_words("tokens", td.THEMES).alias("topic_theme"))
 
 
-@query("theme_of_words", oracle.sql("select article_id, topic_theme from themes", oracle.ARTICLES, oracle.TOKENS, THEME_CTE))
+@query("theme_of_words", oracle.sql("select article_id, topic_theme from themes", *oracle.KEPT_CTES, THEME_CTE))
 def theme_of_words(spark, sf):
     return themed(spark, sf).select("article_id", "topic_theme")
 
 
 @query("topic_counts", oracle.sql("select topic_theme, count(*) as articles from themes group by topic_theme",
-                                  oracle.ARTICLES, oracle.TOKENS, THEME_CTE))
+                                  *oracle.KEPT_CTES, THEME_CTE))
 def topic_counts(spark, sf):
     return news.value_counts(themed(spark, sf), "topic_theme")
 
 
 @query("top_topics", oracle.sql(
     "select topic_theme, count(*) as articles from themes group by topic_theme order by articles desc, topic_theme limit 2",
-    oracle.ARTICLES, oracle.TOKENS, THEME_CTE))
+    *oracle.KEPT_CTES, THEME_CTE))
 def top_topics(spark, sf):
     return news.top_counts(news.value_counts(themed(spark, sf), "topic_theme"), "articles", 2, "topic_theme")
 
 
 @query("topic_evolution", oracle.sql("""
 select cast(published_date as date) as published_day, topic_theme, count(*) as articles from themes group by all""",
-    oracle.ARTICLES, oracle.TOKENS, THEME_CTE))
+    *oracle.KEPT_CTES, THEME_CTE))
 def topic_evolution(spark, sf):
     return news.value_counts(news.with_published_parts(themed(spark, sf)), "published_day", "topic_theme")
 
 
 @query("topic_model")
 def topic_model(spark, sf):
-    return topics.topic_table(topics.topic_model(cleaned(spark, sf), td.THEMES))
+    return topics.topic_table(modeled(spark, sf))
+
+
+def modeled(spark, sf):
+    """Every kept article with the theme and cluster of the fitted topic model; fitted and stored once."""
+    return layers.stored(spark, "topics", [f"{sf}/documents.parquet"], lambda: topics.topic_model(kept(spark, sf), td.THEMES))
+
+
+@query("modeled_topic_counts")
+def modeled_topic_counts(spark, sf):
+    return news.value_counts(modeled(spark, sf), "topic_theme")
+
+
+@query("modeled_topic_evolution")
+def modeled_topic_evolution(spark, sf):
+    return news.value_counts(news.with_published_parts(modeled(spark, sf)), "published_day", "topic_theme")
 
 
 # ---- trends -----------------------------------------------------------------
@@ -440,8 +438,18 @@ select date, {real('sentiment_momentum')} as sentiment_momentum, {real('sentimen
 from trends order by date desc limit 1""",
     *oracle.TRADE_CTES, *oracle.NEWS_CTES, TRENDS_CTE, DAILY_CTE, STEADY_CTE, THEME_CTE, *IMPACT_CTES))
 def daily_brief(spark, sf):
+    return flat_brief(spark, sf, themed(spark, sf))
+
+
+@query("modeled_brief")
+def modeled_brief(spark, sf):
+    """The brief with the themes of the fitted topic model."""
+    return flat_brief(spark, sf, modeled(spark, sf))
+
+
+def flat_brief(spark, sf, themes):
     brief = trends.daily_brief(
-        all_trends(spark, sf), ruled_days(spark, sf), impact(spark, sf), news.value_counts(themed(spark, sf), "topic_theme"))
+        all_trends(spark, sf), ruled_days(spark, sf), impact(spark, sf), news.value_counts(themes, "topic_theme"))
     flat = brief.withColumns({
         "top_topics": F.array_join(F.transform("top_topics", lambda t: F.concat(t["topic_theme"], F.lit(":"), t["articles"])), ", "),
         "alerts": F.array_join(F.transform("alerts", lambda a: a["title"]), ", "),

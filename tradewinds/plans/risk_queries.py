@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradewinds.functions import risk as r, sizing
-from tradewinds.operators import curves, ordered, regimes, risk, silver as sv
+from tradewinds.operators import curves, ordered, regimes, risk, risk_budget, silver as sv, sliding
 from tradewinds.plans import oracle, testdata as td
 from tradewinds.plans.catalog import query
 from tradewinds.plans.compare import coarse, money, pnl, real, steady
@@ -300,3 +300,74 @@ def regime_kmeans(spark, sf):
     f"select *, {REGIME_SQL} as market_regime from steady_daily order by date desc limit 1", DAILY_CTE, STEADY_CTE))
 def latest_row(spark, sf):
     return regimes.latest_row(ruled_days(spark, sf))
+
+
+# ---- sliding ratios, risk budget, bounded sizes -----------------------------
+
+SLIDING_REALS = ["sliding_volatility", "sliding_downside", "sliding_sharpe", "sliding_sortino", "sliding_shortfall", "sliding_max_drawdown"]
+SLIDING_CTE = """
+framed as (
+  select fill_seq, count(*) over f as n, avg(roe) over f as mean, stddev_samp(roe) over f as vol,
+         count(case when roe < 0 then 1 end) over f as falls, sum(case when roe < 0 then roe * roe else 0e0 end) over f as squares,
+         list(closed_pnl) over f as pnls, list(roe) over f as roes
+  from realized window f as (partition by account order by ts, fill_seq rows between 29 preceding and current row)),
+full_frames as (
+  select *, case when falls >= 2 then sqrt(squares / 29) else 0e0 end as down, quantile_cont_30 as cut,
+         list_transform(range(1, 31), lambda i: list_sum(roes[1:i])) as cums
+  from (select *, list_sort(pnls)[2] + (list_sort(pnls)[3] - list_sort(pnls)[2]) * 0.45e0 as quantile_cont_30 from framed where n = 30)),
+sliding as (
+  select fill_seq, vol as sliding_volatility, down as sliding_downside,
+         case when vol > 0 then mean / vol * sqrt(365e0) else 0e0 end as sliding_sharpe,
+         case when down > 0 then mean / down * sqrt(365e0) else 0e0 end as sliding_sortino,
+         list_avg(list_filter(pnls, lambda v: v <= cut)) as sliding_shortfall,
+         list_min(list_transform(range(1, 31), lambda i: cums[i] - list_max(cums[1:i]))) as sliding_max_drawdown
+  from full_frames)"""
+
+
+@query("sliding_risk", oracle.on_silver(
+    "select r.account, r.trade_id, r.ts, " + ", ".join(f"{coarse(c)} as {c}" if c == "sliding_shortfall" else f"{real(c)} as {c}" for c in SLIDING_REALS)
+    + " from realized r left join sliding s on s.fill_seq = r.fill_seq", SLIDING_CTE))
+def sliding_risk(spark, sf):
+    rows = realized(spark, sf).select("account", "trade_id", "ts", "fill_seq", "closed_pnl", "roe")
+    out = sliding.sliding_risk(rows, ["account"]).select("account", "trade_id", "ts", *SLIDING_REALS)
+    return steady(out, real=[c for c in SLIDING_REALS if c != "sliding_shortfall"], coarse=["sliding_shortfall"])
+
+
+BUDGET_SQL = f"""
+cell_pnl as (select account, date, coin, sum(closed_pnl) as x from realized group by all),
+active as (select distinct account, date from cell_pnl),
+grid as (
+  select a.account, a.date, c.coin, coalesce(x, 0e0) as x, sum(coalesce(x, 0e0)) over (partition by a.account, a.date) as t
+  from active a join (select distinct account, coin from cell_pnl) c on c.account = a.account
+  left join cell_pnl p on p.account = a.account and p.date = a.date and p.coin = c.coin),
+shares as (
+  select account, coin, stddev_samp(x) as part_volatility, stddev_samp(t) as portfolio_volatility,
+         covar_samp(x, t) / stddev_samp(t) as contribution, covar_samp(x, t) / var_samp(t) as share
+  from grid group by account, coin)"""
+
+
+@query("risk_contribution", oracle.on_silver(f"""
+select account, coin, {coarse('part_volatility')} as part_volatility, {coarse('portfolio_volatility')} as portfolio_volatility,
+       {coarse('contribution')} as contribution, {real('share')} as share, share > 0.25e0 as over_budget,
+       {real('case when share > 0.25e0 then 0.25e0 / share else 1e0 end')} as size_factor from shares""", BUDGET_SQL))
+def risk_contribution(spark, sf):
+    found = risk_budget.within_budget(risk_budget.risk_contribution(realized(spark, sf)))
+    return steady(found, real=["share", "size_factor"], coarse=["part_volatility", "portfolio_volatility", "contribution"])
+
+
+@query("bounded_sizes", oracle.on_silver(f"""
+select trade_id, t.ts, {real('known_var')} as known_var,
+       {real("size_usd * case when known_var < -500 then -500e0 / known_var else 1e0 end")} as bounded_size,
+       case when sentiment_score > 75 then least(leverage, 2e0) when sentiment_score < 30 then least(leverage, 5e0) else leverage * 1e0 end as bounded_leverage
+from realized t asof left join known k on k.account = t.account and t.ts > k.ts""", """
+known as (
+  select account, ts, arg_max(v, fill_seq) as known_var from (
+    select account, ts, fill_seq, quantile_cont(closed_pnl, 0.05) over w as v, count(*) over w as n
+    from realized window w as (partition by account order by ts, fill_seq rows between 29 preceding and current row)) where n = 30
+  group by account, ts)"""))
+def bounded_sizes(spark, sf):
+    """Sizes under the account's rolling VaR as it was before each trade, leverage under the cap of the sentiment band."""
+    trades = realized(spark, sf).select("account", "trade_id", "ts", "fill_seq", "closed_pnl", "size_usd", "leverage", "sentiment_score")
+    risks = risk.rolling_var(trades.select("account", "ts", "fill_seq", "closed_pnl"), ["account"])
+    out = risk_budget.bounded_sizes(trades, risks).select("trade_id", "ts", "known_var", "bounded_size", "bounded_leverage")
+    return steady(out, real=["known_var", "bounded_size"])
