@@ -66,7 +66,8 @@ def test_equals_brute_force(spark, seed):
 
 
 def test_odd_rows(spark):
-    p = "".join(random.Random(5).choice("abcdefgh ") for _ in range(240))
+    pick = random.Random(5)
+    p = "".join(pick.choice("abcdefgh ") for _ in range(240))
     rows = [(3, p, "x", b"1"), (1, p[:150], None, None), (2, None, "x", None), (None, p, "x", None), (4, "", "", None), (5, p * 400, "x", None), (3, p, "x", b"1")]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string, kept binary")
     out = repeats.remove_repeats(df)

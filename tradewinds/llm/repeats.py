@@ -107,6 +107,8 @@ def anchored(df: DataFrame) -> DataFrame:
             gram, whole, doc, pos = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((pos, doc, whole, gram))
             gram, whole, doc, pos = gram[order], whole[order], doc[order], pos[order]
+            fresh = np.r_[True, (np.diff(gram) != 0) | (np.diff(whole) != 0) | (np.diff(doc) != 0) | (np.diff(pos) != 0)][:len(gram)]
+            gram, whole, doc, pos = gram[fresh], whole[fresh], doc[fresh], pos[fresh]  # rows that repeat a document repeat its places
             first = np.r_[True, (gram[1:] != gram[:-1]) | (whole[1:] != whole[:-1])][:len(gram)]
             d, s, e = _joined(doc[~first], pos[~first] >> 16, (pos[~first] >> 16) + ((pos[~first] >> 8) & 255) - 1 + LENGTH)
             for at in range(0, int(first.sum()), 50_000):
@@ -126,13 +128,18 @@ def compared(rows: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        gram_open = whole_open = None
+        gram_open = whole_open = doc_open = pos_open = None
         held = None  # the only kind so far of the open anchor, not yet handed on
         for batch in batches:
             gram, whole, doc, pos = (np.asarray(c) for c in batch.columns)
             told = pos < 0
             yield _batch({"gram": gram[told], "doc": doc[told], "start": -1 - pos[told], "stop": whole[told], "place": np.full(told.sum(), -1)})
             gram, whole, doc, pos = gram[~told], whole[~told], doc[~told], pos[~told]
+            if not len(gram):
+                continue
+            same = gram_open is not None and (gram[0], whole[0], doc[0], pos[0]) == (gram_open, whole_open, doc_open, pos_open)
+            fresh = np.r_[not same, (np.diff(gram) != 0) | (np.diff(whole) != 0) | (np.diff(doc) != 0) | (np.diff(pos) != 0)]
+            gram, whole, doc, pos = gram[fresh], whole[fresh], doc[fresh], pos[fresh]
             if not len(gram):
                 continue
             start, stop, place = pos >> 16, (pos >> 16) + ((pos >> 8) & 255) - 1 + LENGTH, pos & 255
@@ -152,7 +159,7 @@ def compared(rows: DataFrame) -> DataFrame:
             if new_gram.any():
                 last = rows[-1]
                 held = None if many[-1] else {k: [v[last]] for k, v in (("gram", gram), ("doc", doc), ("start", start), ("stop", stop), ("place", place))}
-            gram_open, whole_open = gram[-1], whole[-1]
+            gram_open, whole_open, doc_open, pos_open = gram[-1], whole[-1], doc[-1], pos[-1]
 
     sorted_ = rows.repartition("gram").sortWithinPartitions("gram", "whole", "doc", "pos")
     return sorted_.mapInArrow(run, "gram long, doc long, start long, stop long, place long")
@@ -219,6 +226,9 @@ def searched(rows: DataFrame) -> DataFrame:
         order = np.lexsort((start, doc, gram))
         gram, doc, start, place = (x[order] for x in (gram, doc, start, place))
         texts = [texts[i] for i in order.tolist()]
+        fresh = [i for i in range(len(texts)) if not i or texts[i] != texts[i - 1] or (gram[i], doc[i], start[i]) != (gram[i - 1], doc[i - 1], start[i - 1])]
+        if len(fresh) < len(texts):  # rows that repeat a document
+            gram, doc, start, place, texts = gram[fresh], doc[fresh], start[fresh], place[fresh], [texts[i] for i in fresh]
         group = np.cumsum(np.r_[0, gram[1:] != gram[:-1]])
         after = _longest_shared(group, [t[p:] for t, p in zip(texts, place.tolist())])
         ahead = _longest_shared(group, [t[:p][::-1] for t, p in zip(texts, place.tolist())])
