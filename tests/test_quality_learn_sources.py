@@ -6,7 +6,6 @@ from tradewinds.operators import learn, quality
 from tradewinds.plans.trade_queries import silver
 from tradewinds.session import scratch_path
 from tradewinds.sources import readers, writers
-from tradewinds.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
 
@@ -178,16 +177,3 @@ def test_dynamic_partition_overwrite(spark, toy):
     writers.write_table(two.where("month = '2026-02'").limit(2), path, ["month"])
     counts = {str(r["month"]): r["count"] for r in readers.read_silver(spark, path).groupBy("month").count().collect()}
     assert counts == {"2026-01": 5, "2026-02": 2}
-
-
-def test_incremental_silver_equals_batch_without_gaps(spark, tmp_path):
-    fills_dir, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    fills_dir.mkdir()
-    days = spark.createDataFrame([("2026-05-25", 40.0, "Fear")], "date string, sentiment_score double, sentiment_class string").withColumn(
-        "date", F.to_date("date"))
-    for i in range(2):
-        (fills_dir / f"{i}.csv").write_text(HEADER + f"a,BTC,1.5,100,25-05-2026 1{i}:00,Buy,5,{i}\n")
-        incremental.run_available(spark, str(fills_dir), days, out, state)
-    rows = spark.read.parquet(out).orderBy("trade_id").collect()
-    assert [(r["trade_id"], r["sentiment_class"], r["win_flag"]) for r in rows] == [(0, "Fear", 1), (1, "Fear", 1)]
-    assert schemas.SILVER_EXPECTED.keys() <= set(rows[0].asDict())

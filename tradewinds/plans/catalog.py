@@ -27,5 +27,5 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     import importlib
-    for area in ("trade", "risk", "behavior", "news", "quality", "learn", "source"):
+    for area in ("trade", "risk", "behavior", "news", "quality", "learn", "source", "gold"):
         importlib.import_module(f"tradewinds.plans.{area}_queries")
