@@ -10,7 +10,7 @@ from tradewinds.operators import near_dup, news, regimes, topics, trends
 from tradewinds.plans import oracle, testdata as td
 from tradewinds.plans.catalog import query
 from tradewinds.plans.compare import real, steady
-from tradewinds.plans.risk_queries import DAILY_CTE, REGIME_SQL, STEADY_CTE, ruled_days
+from tradewinds.plans.risk_queries import DAILY_CTE, STEADY_CTE, ruled_days
 from tradewinds.plans.trade_queries import silver
 from tradewinds.sources import layers
 
@@ -428,7 +428,7 @@ select date, {real('sentiment_momentum')} as sentiment_momentum, {real('sentimen
        {real('sentiment_acceleration')} as sentiment_acceleration, {real('divergence')} as divergence,
        case when sentiment_momentum > 0.4 then 'Highly Bullish' when sentiment_momentum < -0.4 then 'Highly Bearish'
             else 'Neutral Consolidation' end as status,
-       (select {REGIME_SQL} from steady_daily order by date desc limit 1) as market_regime,
+       (select market_regime from steady_daily order by date desc limit 1) as market_regime,
        (select string_agg(topic_theme || ':' || articles, ', ' order by articles desc, topic_theme) from (
           select topic_theme, count(*) as articles from themes group by topic_theme
           order by articles desc, topic_theme limit 3)) as top_topics,

@@ -45,9 +45,13 @@ def duplicate_checks(spark, sf):
     return q.duplicate_checks(silver(spark, sf))
 
 
-@query("schema_checks")
+@query("schema_checks", oracle.on_silver("""
+select 'coin' as "column", 'float' as expected, 'string' as actual, false as passed, count(coin) filter (try_cast(coin as double) is null) as bad_values from silver
+union all select 'month', 'int', 'string', false, count(month) filter (try_cast(month as bigint) is null) from silver
+union all select 'venue', 'string', 'missing', false, -1
+union all select 'account', 'string', 'string', true, 0 union all select 'size_usd', 'float', 'double', true, 0"""))
 def schema_checks(spark, sf):
-    return q.schema_checks(silver(spark, sf), {**schemas.SILVER_EXPECTED, "coin": "float", "venue": "string"})
+    return q.schema_checks(silver(spark, sf), {"coin": "float", "month": "int", "venue": "string", "account": "string", "size_usd": "float"})
 
 
 OUTLIER_SQL = """from silver cross join (select avg({c}) as mean, nullif(stddev_samp({c}), 0) as std from silver)

@@ -253,10 +253,8 @@ daily as (
                sum(size_usd) as total_volume, max(sentiment_score) as sentiment_score from silver group by date))"""
 DAILY_BODY = f"""select date, {real('avg_roe')} as avg_roe, {pnl('total_pnl')} as total_pnl, trade_count,
  {money('total_volume')} as total_volume, sentiment_score"""
-REGIME_SQL = """case when rolling_volatility > 0.15 or (sentiment_score < 20 and avg_roe < -0.05)
-       or (sentiment_score > 80 and avg_roe > 0.05) then 'High Volatility / Turbulence'
-     when sentiment_score >= 55 and avg_roe >= -0.01 then 'Bull Market'
-     when sentiment_score <= 40 and avg_roe < 0.01 then 'Bear Market' else 'Sideways Market' end"""
+REGIME_SQL = """case when v > 0.15 or (sentiment_score < 20 and r < -0.05) or (sentiment_score > 80 and r > 0.05) then 'High Volatility / Turbulence'
+     when sentiment_score >= 55 and r >= -0.01 then 'Bull Market' when sentiment_score <= 40 and r < 0.01 then 'Bear Market' else 'Sideways Market' end"""
 
 
 def _steady_daily(df):
@@ -274,19 +272,16 @@ def rolling_volatility(spark, sf):
     return _steady_daily(regimes.rolling_volatility(regimes.daily_macro(silver(spark, sf))))
 
 
-# returns of this data are whole percents, so daily means sit exactly on the rule thresholds:
-# the rules are compared on rounded means
 STEADY_CTE = f"""
-steady_daily as ({DAILY_BODY}, {real('rolling_volatility')} as rolling_volatility from daily)"""
+steady_daily as ({DAILY_BODY}, {real('rolling_volatility')} as rolling_volatility, {REGIME_SQL} as market_regime
+  from (select *, round(rolling_volatility, 6) as v, round(avg_roe, 6) as r from daily))"""
 
 
 def ruled_days(spark, sf):
-    daily = _steady_daily(regimes.rolling_volatility(regimes.daily_macro(silver(spark, sf))))
-    return daily.withColumn("market_regime", sizing.regime_rule())
+    return _steady_daily(regimes.regimes_by_rule(silver(spark, sf)))
 
 
-@query("regime_rules", oracle.on_silver(
-    f"select *, {REGIME_SQL} as market_regime from steady_daily", DAILY_CTE, STEADY_CTE))
+@query("regime_rules", oracle.on_silver("select * from steady_daily", DAILY_CTE, STEADY_CTE))
 def regime_rules(spark, sf):
     return ruled_days(spark, sf)
 
@@ -297,7 +292,7 @@ def regime_kmeans(spark, sf):
 
 
 @query("latest_row", oracle.on_silver(
-    f"select *, {REGIME_SQL} as market_regime from steady_daily order by date desc limit 1", DAILY_CTE, STEADY_CTE))
+    "select * from steady_daily order by date desc limit 1", DAILY_CTE, STEADY_CTE))
 def latest_row(spark, sf):
     return regimes.latest_row(ruled_days(spark, sf))
 
