@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tradewinds.llm import chosen_path as cp
@@ -49,7 +50,7 @@ def made(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("options", [{}, {"small": 4, "block": 6, "depth": 2}])
+@pytest.mark.parametrize("options", [{}, {"small": 4, "depth": 2}, {"weight": 2000, "depth": 1}])
 def test_like_brute_force(spark, options):
     rows = made(4)
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, signature string, component_id int").repartition(4)
@@ -63,11 +64,11 @@ def test_a_large_family_is_one_component_without_its_pairs(spark, monkeypatch):
     rows = list(enumerate(family(pick, base, 1500, 3) + [" ".join(base)] * 1500))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
     counted = []
-    confirm = cp.linked
-    monkeypatch.setattr(cp, "linked", lambda pairs, sets, percent: (counted.append(pairs.count()), confirm(pairs, sets, percent))[1])
+    confirm = cp.confirmed
+    monkeypatch.setattr(cp, "confirmed", lambda rows, percent: (counted.append(confirm(rows, percent).count()), confirm(rows, percent))[1])
     found = cp.near_duplicates(df, 5, 85)
     assert found.where("component_id = 0").count() == 3000
-    assert sum(counted) < 20 * 1500  # a family of 1500 has a million pairs
+    assert counted[0] < 20 * 1500  # a family of 1500 has a million pairs
 
 
 def test_repeated_and_null_ids_and_empty_tables(spark):
@@ -81,4 +82,16 @@ def test_repeated_and_null_ids_and_empty_tables(spark):
 
 def test_parameters():
     assert cp.trees(85, 0.999999) == 4
-    assert cp.least_agreeing(85, 0.999999) < 0.85 * cp.POSITIONS - 10
+    assert cp.trees(85, 0.9) < cp.trees(60, 0.9)
+
+
+def test_components_within_a_node_like_all_pairs():
+    pick = random.Random(9)
+    for _ in range(30):
+        sets = [np.array(sorted(pick.sample(range(60), pick.randint(1, 12))), dtype=np.uint64) for _ in range(25)]
+        links = [(i, j) for i in range(25) for j in range(i) if (c := len(np.intersect1d(sets[i], sets[j]))) and 100 * c >= 40 * (len(sets[i]) + len(sets[j]) - c)]
+        root = list(range(25))
+        for _ in range(25):
+            for i, j in links:
+                root[i] = root[j] = min(root[i], root[j])
+        assert cp.node_components(np.array([len(x) for x in sets]), sets, 40).tolist() == root

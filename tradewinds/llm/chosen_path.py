@@ -2,9 +2,9 @@
 
 Documents with equal sets collapse to one. The others grow trees: a node's
 documents branch by the value of a min-hash position that the node chooses, so
-documents stay together with the probability of their similarity. Nodes of few
-documents are compared exhaustively, larger ones branch on. Independent trees
-repeat this until a linked pair misses all of them with less than ``1 - recall``.
+documents stay together with the probability of their similarity. Small nodes
+are compared exhaustively on the full sets, larger ones branch on. Independent
+trees repeat this until a linked pair misses all of them with less than ``1 - recall``.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ SHINGLE_WORDS, PERCENT = 5, 80
 #: Positions of a min-hash signature.
 POSITIONS = 64
 
-#: Probability that a linked pair meets in a node and passes the signature test.
+#: Probability that a linked pair meets in a node of two levels.
 RECALL = 0.999999
 
-#: Documents of a node that is compared exhaustively, of a block of a node that branching does not part, and levels until then.
-SMALL, BLOCK, DEPTH = 200, 2000, 12
+#: Documents and set members (8 bytes each) of a node that one task compares, and levels until larger ones are cut in blocks.
+SMALL, WEIGHT, DEPTH = 4000, 2_000_000, 6
 
 _A, _B, _PATH, _KEY = codes(11) | np.uint64(1), codes(12), codes(13), codes(14)
 
@@ -91,16 +91,6 @@ def trees(percent: int, recall: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(max(1 - stays, 1e-12))))
 
 
-def least_agreeing(percent: int, recall: float) -> int:
-    """Positions in which signatures of a linked pair agree at least, but for a tenth of ``1 - recall``."""
-    p, total = percent / 100, 0.0
-    for m in range(POSITIONS + 1):
-        total += math.comb(POSITIONS, m) * p ** m * (1 - p) ** (POSITIONS - m)
-        if total > (1 - recall) / 10:
-            return m
-    return POSITIONS
-
-
 def planted(sets: DataFrame, n_trees: int) -> DataFrame:
     """``node, id``: the second level of every tree. ``sets`` holds ``id, signature``."""
 
@@ -136,102 +126,92 @@ def grown(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select("node", "id", "signature").mapInArrow(run, "node long, id long")
 
 
-def met(rows: DataFrame) -> DataFrame:
-    """``node, id, size, leader``: the nodes of two documents and more; the leader is the least id."""
-    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("leader")).where("size > 1")
-    return rows.join(sizes, "node").select("node", "id", "size", "leader")
-
-
-def _fit(size_a, size_b, agree, percent: int, at_least: int):
-    return (agree >= at_least) & (100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b))
-
-
-def alike(pairs: DataFrame, sets: DataFrame, percent: int, at_least: int) -> DataFrame:
-    """The pairs ``a, b`` whose set sizes and signatures allow a link."""
-    both = pairs.join(sets.selectExpr("id as a", "n_shingles as na", "signature as sa"), "a").join(
-        sets.selectExpr("id as b", "n_shingles as nb", "signature as sb"), "b")
+def met(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, id, size, weight``: the nodes of two documents and more, with their documents and set members."""
+    sizes = rows.join(sets.select("id", "n_shingles"), "id").groupBy("node").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("weight")).where("size > 1")
+    return rows.join(sizes, "node").select("node", "id", "size", "weight")
 
-    def run(batches):
-        for batch in batches:
-            a, b, na, nb = (np.asarray(batch.column(i)) for i in range(4))
-            if len(a):
-                fine = _fit(na, nb, (_matrix(batch.column(4)) == _matrix(batch.column(5))).sum(axis=1), percent, at_least)
-                yield pa.RecordBatch.from_arrays([pa.array(a[fine]), pa.array(b[fine])], ["a", "b"])
 
-    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+def _blocks(rows: DataFrame, small: int, weight: int) -> DataFrame:
+    """Every two blocks of a large node as a node of its own: all its pairs of documents meet in one."""
+    parts = F.expr(f"cast(greatest(ceil(2 * size / {small}), ceil(2 * weight / {weight})) as int)")
+    placed = rows.withColumn("mine", F.pmod(F.xxhash64("id", "node"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return placed.select(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("node"), "id")
 
 
-def compared(rows: DataFrame, percent: int, at_least: int) -> DataFrame:
-    """Pairs ``a, b`` of one node, from different components and (in a node of blocks) different sides, that may be linked.
+def node_components(count: np.ndarray, members: list[np.ndarray], percent: int) -> np.ndarray:
+    """The least position that each set of a node reaches by links; ``members`` are the sets.
 
-    ``rows`` holds ``node, side, id, component, n_shingles, signature``; a node
-    has at most SMALL documents, or two blocks. Nothing but the pairs leaves the task.
+    A set is compared with all that no earlier one reached, as rows of bits
+    over the members that occur twice: every link of the node is respected.
     """
-
-    def node_pairs(side, ids, component, n, least):
-        for i in range(len(ids) - 1):
-            rest = np.flatnonzero((component[i + 1:] != component[i]) & ((side[i + 1:] != side[i]) | (side[i] < 0))) + i + 1
-            if len(rest):
-                rest = rest[_fit(n[rest], n[i], (least[rest] == least[i]).sum(axis=1), percent, at_least)]
-                for j in rest.tolist():
-                    yield max(ids[i], ids[j]), min(ids[i], ids[j])
+    flat = np.concatenate(members)
+    values, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    owner = np.repeat(np.arange(len(members)), count)
+    keep = shared[column]
+    bits = np.zeros((len(members), (int(shared.sum()) + 63) // 64 * 64), dtype=bool)
+    bits[owner[keep], place[column[keep]]] = True
+    rows = np.packbits(bits, axis=1).view(np.uint64) if bits.shape[1] else np.zeros((len(members), 1), dtype=np.uint64)
+    del bits
+    root = np.full(len(members), -1, dtype=np.int64)
+    for first in range(len(members)):
+        if root[first] >= 0:
+            continue
+        root[first] = first
+        reached = [first]
+        while reached:
+            x = reached.pop()
+            rest = np.flatnonzero(root < 0)
+            if not len(rest):
+                break
+            common = np.bitwise_count(rows[rest] & rows[x]).sum(axis=1, dtype=np.int64)
+            near = rest[(common > 0) & (100 * common >= percent * (count[rest] + count[x] - common))]
+            root[near] = first
+            reached += near.tolist()
+    return root
+
+
+def confirmed(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that join what is linked within a node: no more than it has documents. ``rows`` holds ``node, id, members``."""
+
+    def links(batch):
+        node, ids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in batch.column(2)]
+        count = np.array([len(v) for v in sets], dtype=np.int64)
+        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+        left, right = [], []
+        for lo, hi in zip(first.tolist(), np.append(first[1:], len(node)).tolist()):
+            if hi - lo > 1:
+                root = node_components(count[lo:hi], sets[lo:hi], percent)
+                other = np.flatnonzero(root != np.arange(hi - lo))
+                left.append(ids[lo + other])
+                right.append(ids[lo + root[other]])
+        none = [np.zeros(0, dtype=np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left or none)), pa.array(np.concatenate(right or none))], ["a", "b"])
 
     def run(batches):
         waiting: list[pa.RecordBatch] = []
-
-        def emit(table):
-            node, side, ids, component, n = (np.asarray(table.column(i)) for i in range(5))
-            least = _matrix(table.column(5))
-            first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-            found = [p for lo, hi in zip(first.tolist(), np.append(first[1:], len(node)).tolist())
-                     for p in node_pairs(side[lo:hi], ids[lo:hi], component[lo:hi], n[lo:hi], least[lo:hi])]
-            a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
             nodes = np.asarray(batch.column(0))
             last = int(np.searchsorted(nodes, nodes[-1]))  # sorted by node; the last one may go on in the next batch
             if last:
-                yield emit(pa.Table.from_batches([*waiting, batch.slice(0, last)]).combine_chunks())
+                yield links(pa.Table.from_batches([*waiting, batch.slice(0, last)]).combine_chunks().to_batches()[0])
                 waiting = []
             waiting.append(batch.slice(last))
         if waiting:
-            yield emit(pa.Table.from_batches(waiting).combine_chunks())
-
-    dealt = rows.select("node", "side", "id", "component", "n_shingles", "signature").repartition("node").sortWithinPartitions("node", "id")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
-
-
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that the full sets (``id, members``) confirm."""
-    both = pairs.join(sets.selectExpr("id as a", "members as ma"), "a").join(sets.selectExpr("id as b", "members as mb"), "b")
-
-    def run(batches):
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                one, two = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                good.append(common > 0 and 100 * common >= percent * (len(one) + len(two) - common))
-            good = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], ["a", "b"])
-
-    return both.select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long").distinct()
-
+            yield links(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
 
-def _blocks(rows: DataFrame, block: int) -> DataFrame:
-    """Every two blocks of a large node as a node of its own, one side each; a block on its own has no sides."""
-    parts = F.expr(f"cast(ceil(size / {block}) as int)")
-    placed = rows.withColumn("mine", F.pmod(F.xxhash64("id", "node"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return placed.withColumns({
-        "side": F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine")),
-        "node": F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))})
+    dealt = rows.select("node", "id", "members").repartition("node").sortWithinPartitions("node", "id")
+    return dealt.mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
 def near_duplicates(df: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text",
-                    recall: float = RECALL, small: int = SMALL, block: int = BLOCK, depth: int = DEPTH) -> DataFrame:
+                    recall: float = RECALL, small: int = SMALL, weight: int = WEIGHT, depth: int = DEPTH) -> DataFrame:
     """``id, n_shingles, component_id`` of every row: the least id reachable by links between documents.
 
     A document's set is its distinct shingles of k lower-cased words; a text of
@@ -242,50 +222,37 @@ def near_duplicates(df: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCEN
     component. An empty table gives no rows. Shingles are compared as 64-bit
     hashes, equal sets by 128 bits.
 
-    In every node the documents are first compared with the least one. Links
-    confirmed on the full sets make components, and a node within one component
-    is done, however large: copies are never expanded into pairs. In a node of
-    several components, if it is small, those are compared exhaustively; else it
-    branches. What ``depth`` levels do not part is compared block by block.
+    All links between the documents of a small node are found on their full
+    sets, but handed on as a spanning forest: a family of copies costs as many
+    links as members. A node of more than ``small`` documents or ``weight`` set
+    members branches on; what ``depth`` levels leave so large is compared in blocks.
     """
     every = cut_lineage(signatures(df, k, id_col, text_col))
     filled = every.where("key_a is not null and id is not null")
     first = filled.groupBy("key_a", "key_b").agg(F.min_by(F.struct("n_shingles", "signature"), "id").alias("s"), F.min("id").alias("id"))
     sets = cut_lineage(first.select("key_a", "key_b", "id", "s.n_shingles", "s.signature"))
-    at_least = least_agreeing(percent, recall)
-    nodes = cut_lineage(met(planted(sets, trees(percent, recall))))
     same = filled.select("id", "key_a", "key_b").join(sets.select("key_a", "key_b", F.col("id").alias("first")), ["key_a", "key_b"])
-    links = cut_lineage(same.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct())
-    if not nodes.isEmpty():
-        members = cut_lineage(shingle_sets(df, presence(nodes), k, id_col, text_col).join(sets.select("id"), "id", "left_semi"))
-        tested = None
-
-        def confirm(pairs: DataFrame) -> DataFrame:
-            nonlocal tested, links
-            fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-            fresh = cut_lineage(fresh)
-            tested = fresh if tested is None else tested.unionByName(fresh)
-            links = cut_lineage(links.unionByName(linked(fresh, members, percent)))
-
-        for level in range(depth + 1):
-            star = nodes.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-            confirm(alike(star, sets, percent, at_least))
-            known = components(links)
-            placed = nodes.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-            mixed = placed.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"),
-                                               F.expr("bit_xor(xxhash64(id))").alias("s"), F.expr("bit_xor(xxhash64(id, 7))").alias("t")).where("x <> y")
-            # small nodes of the same documents tell the same: one of them is enough
-            mixed = mixed.withColumn("who", F.when(F.col("n") <= small, F.col("n")).otherwise(F.col("node")))
-            mixed = mixed.groupBy("who", "n", "s", "t").agg(F.min("node").alias("node")).select("node")
-            still = cut_lineage(placed.join(mixed, "node").join(sets.select("id", "n_shingles", "signature"), "id").withColumn("side", F.lit(-1)))
-            wide = still.where(F.col("size") > small)
-            confirm(compared(still.where(F.col("size") <= small), percent, at_least))
-            if wide.isEmpty():
-                break
-            if level == depth:
-                confirm(compared(_blocks(wide, block), percent, at_least))
-                break
-            nodes = cut_lineage(met(grown(wide, percent)))
+    links = same.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+
+    fits = (F.col("size") <= small) & ((F.col("weight") <= weight) | (F.col("size") == 2))
+    nodes, compared = cut_lineage(met(planted(sets, trees(percent, recall)), sets)), None
+    for level in range(depth + 1):
+        part = nodes.where(fits).select("node", "id")
+        compared = part if compared is None else compared.unionByName(part)
+        large = nodes.where(~fits)
+        if large.isEmpty():
+            break
+        if level == depth:
+            compared = compared.unionByName(_blocks(large, small, weight))
+        else:
+            nodes = cut_lineage(met(grown(large.join(sets.select("id", "signature"), "id"), percent), sets))
+    # nodes of the same documents tell the same: one of them is enough
+    alike = compared.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(id))").alias("s"), F.expr("bit_xor(xxhash64(id, 7))").alias("t"))
+    single = alike.groupBy("n", "s", "t").agg(F.min("node").alias("node")).select("node")
+    compared = cut_lineage(compared.join(single, "node"))
+    if not compared.isEmpty():
+        members = shingle_sets(df, presence(compared), k, id_col, text_col)
+        links = links.unionByName(confirmed(compared.join(members, "id"), percent))
     groups = components(links).withColumnRenamed("node", "id")
     return every.join(groups, "id", "left").selectExpr("id", "n_shingles", "coalesce(component, id) as component_id")
 
