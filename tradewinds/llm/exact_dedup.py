@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tradewinds.llm.common import SPACES
+from tradewinds.llm.common import SPACES, tidy
 from tradewinds.session import cut_lineage
 
 
@@ -109,7 +109,7 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([d for d, _ in made], pa.binary()),
                                               pa.array([n for _, n in made], pa.int64())], ["id", "digest", "chars"])
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
 
 
 def survivors(rows: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ def survivors(rows: DataFrame) -> DataFrame:
                     *(pa.array([v[i] for _, v in part], pa.int64()) for i in (0, 2, 3))],
                     ["id", "digest", "chars", "members", "repeats"])
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tradewinds.llm.common import codes, mix, pieces, presence, shingle_hashes, slot, utf8, word_hashes, words
+from tradewinds.llm.common import codes, mix, pieces, presence, shingle_hashes, slot, tidy, utf8, word_hashes, words
 from tradewinds.llm.components import components
 from tradewinds.session import cut_lineage
 
@@ -121,7 +121,7 @@ def summaries(df: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(part)), pa.array(count),
                                                   *(pa.array(mix(s).view(np.int64), mask=none) for s in sums)], ["id", "n_shingles", "key_a", "key_b"])
 
-    return _texts(df, id_col, text_col).mapInArrow(run, "id long, n_shingles long, key_a long, key_b long")
+    return _texts(df, id_col, text_col).mapInArrow(tidy(run), "id long, n_shingles long, key_a long, key_b long")
 
 
 def buckets(df: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -177,8 +177,8 @@ def buckets(df: DataFrame, k: int, percent: int, id_col: str, text_col: str) ->
             open_key, leader = keys[-1], lead[-1]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (out_keys, out_ids, out_lead)], ["key", "id", "leader"])
 
-    made = _texts(df, id_col, text_col).mapInArrow(make, "key long, id long")
-    return made.repartition("key").sortWithinPartitions("key", "id").mapInArrow(gather, "key long, id long, leader long")
+    made = _texts(df, id_col, text_col).mapInArrow(tidy(make), "key long, id long")
+    return made.repartition("key").sortWithinPartitions("key", "id").mapInArrow(tidy(gather), "key long, id long, leader long")
 
 
 def parity_sketches(df: DataFrame, wanted: np.ndarray, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -222,7 +222,7 @@ def _computed(df: DataFrame, wanted: np.ndarray, k: int, id_col: str, text_col:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(part)), *made.values()], ["id", *made])
 
     rows = _texts(df, id_col, text_col).where("id is not null").withColumn("slot", slot("id"))
-    return rows.mapInArrow(run, "id long, " + columns)
+    return rows.mapInArrow(tidy(run), "id long, " + columns)
 
 
 def _bits(column) -> np.ndarray:
@@ -241,7 +241,7 @@ def sieve(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             fine = (apart <= bands.differing(na, nb)) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
             yield pa.RecordBatch.from_arrays([pa.array(a[fine]), pa.array(b[fine])], ["a", "b"])
 
-    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def verify(pairs: DataFrame, df: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -261,7 +261,7 @@ def verify(pairs: DataFrame, df: DataFrame, k: int, percent: int, id_col: str, t
             linked = (100 * common >= percent * either) & (common > 0)
             yield pa.RecordBatch.from_arrays([pa.array(v[linked]) for v in (a, b, common, either)], ["a", "b", "common", "either"])
 
-    return both.select("a", "b", "ma", "mb").mapInArrow(run, "a long, b long, common long, either long")
+    return both.select("a", "b", "ma", "mb").mapInArrow(tidy(run), "a long, b long, common long, either long")
 
 
 def open_pairs(cells: DataFrame, known: DataFrame, sketches: DataFrame, percent: int, spanning: bool) -> DataFrame:
@@ -316,7 +316,7 @@ def open_pairs(cells: DataFrame, known: DataFrame, sketches: DataFrame, percent:
         if waiting:
             yield compare(pa.Table.from_batches(waiting).combine_chunks())
 
-    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tradewinds.llm.common import pieces
+from tradewinds.llm.common import pieces, tidy
 
 #: Tokens of a sequence, and the id that ends a document.
 WINDOW, END_ID = 2048, 1
@@ -106,7 +106,7 @@ def cut(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
                     batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()),
                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(totals, pa.int64()), pa.array(ids, pa.binary())], schema.names)
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
 
 
 def combinations(counts: dict[int, int], window: int = WINDOW, partners: int = PARTNERS) -> list[tuple[int, ...]]:

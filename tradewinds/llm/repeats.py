@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from tradewinds.llm.common import _BASE, _BYTE, mix, pieces, presence, slot, utf8
+from tradewinds.llm.common import _BASE, _BYTE, mix, pieces, presence, slot, tidy, utf8
 from tradewinds.llm.suffix_array import suffix_array
 from tradewinds.session import cut_lineage
 
@@ -116,7 +116,7 @@ def anchored(df: DataFrame) -> DataFrame:
                 yield _batch({"gram": gram[rows], "whole": whole[rows], "doc": doc[rows], "pos": pos[rows]})
             yield _batch({"gram": d, "whole": e, "doc": d, "pos": -1 - s})  # removals travel along, dealt out by document
 
-    return df.select("id", "text").mapInArrow(run, "gram long, whole long, doc long, pos long")
+    return df.select("id", "text").mapInArrow(tidy(run), "gram long, whole long, doc long, pos long")
 
 
 def compared(rows: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def compared(rows: DataFrame) -> DataFrame:
             gram_open, whole_open, doc_open, pos_open = gram[-1], whole[-1], doc[-1], pos[-1]
 
     sorted_ = rows.repartition("gram").sortWithinPartitions("gram", "whole", "doc", "pos")
-    return sorted_.mapInArrow(run, "gram long, doc long, start long, stop long, place long")
+    return sorted_.mapInArrow(tidy(run), "gram long, doc long, start long, stop long, place long")
 
 
 def _longest_shared(group: np.ndarray, strings: list[bytes]) -> np.ndarray:
@@ -271,7 +271,7 @@ def searched(rows: DataFrame) -> DataFrame:
             table = pa.Table.from_batches(waiting)
             yield resolve(*(np.asarray(table.column(c)) for c in range(4)), table.column(4).to_pylist())
 
-    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "doc long, start long, stop long")
+    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(tidy(run), "doc long, start long, stop long")
 
 
 def _split(df: DataFrame, slots: np.ndarray, hit: bool) -> DataFrame:
@@ -285,7 +285,7 @@ def _split(df: DataFrame, slots: np.ndarray, hit: bool) -> DataFrame:
             at = batch.schema.get_field_index("__slot")
             yield batch.filter(pa.array(present[np.asarray(batch.column(at).fill_null(0))] == hit))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
 
 
 def fetch(df: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -306,7 +306,7 @@ def fetch(df: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(gram[fits]), pa.array(np.full(n, batch.column(0)[i].as_py(), dtype=np.int64)), pa.array(start[fits]),
                                                   pa.array(place[fits]), pa.array(cut, pa.binary())], ["gram", "doc", "start", "place", "passage"])
 
-    return rows.mapInArrow(run, "gram long, doc long, start long, place long, passage binary")
+    return rows.mapInArrow(tidy(run), "gram long, doc long, start long, place long, passage binary")
 
 
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -369,4 +369,4 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slots = presence(removed, "doc")
     touched = _split(rows, slots, True).join(per_doc, F.col("__id") == F.col("__doc"), "left").select(*columns, "__text", "__spans")
     plain = _split(rows, slots, False).select(*columns, "__text", F.lit(None).cast("array<struct<start:long,stop:long>>").alias("__spans"))
-    return touched.mapInArrow(run, schema).unionByName(plain.mapInArrow(run, schema))
+    return touched.mapInArrow(tidy(run), schema).unionByName(plain.mapInArrow(tidy(run), schema))

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from tradewinds.llm.common import bounded_sample, pieces
+from tradewinds.llm.common import bounded_sample, pieces, tidy
 from tradewinds.session import cut_lineage
 
 #: Labelled examples of each class at most, terms of the index at most, examples of a block, and neighbours that vote.
@@ -177,7 +177,7 @@ def document_frequencies(corpus: DataFrame, numbers: dict[str, int], text_col: s
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array(counts)], ["term", "n"])
 
     out = np.zeros(size + 1)
-    for r in corpus.select(text_col).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n")).collect():
+    for r in corpus.select(text_col).mapInArrow(tidy(run), "term long, n long").groupBy("term").agg(F.sum("n")).collect():
         out[r[0]] = r[1]
     return int(out[size]), out[:size]
 
@@ -219,7 +219,7 @@ def score(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "t
                     ids, pa.array([s for s, _ in out], pa.float64()), pa.array([int(s >= THRESHOLD) for s, _ in out], pa.int32()),
                     pa.array([e for _, e in out], pa.list_(detail))], names)
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
 
 
 def keep_clean(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,4 +236,4 @@ def keep_clean(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 logit = m["slope"] * np.log(votes / (1 - votes)) + m["intercept"]
                 yield batch.slice(start, len(part)).filter(pa.array(1 / (1 + np.exp(-logit)) < THRESHOLD))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
