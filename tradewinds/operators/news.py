@@ -90,6 +90,12 @@ def value_counts(df: DataFrame, *cols: str, name: str = "articles") -> DataFrame
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
 
 
+def with_label(df: DataFrame, labels: DataFrame, key: str, label: str, default) -> DataFrame:
+    """Attach the label of each row's ``key`` from a table (key, label), ``default`` where it has none or a null one."""
+    named = labels.select(F.col(key).alias("_label_key"), F.col(label).alias("_label"))
+    return df.join(named, F.col(key) == F.col("_label_key"), "left").withColumn(label, F.coalesce("_label", F.lit(default))).drop("_label_key", "_label")
+
+
 # ---- entities ---------------------------------------------------------------
 
 EntityRow = tuple[str, str, str]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tradewinds import vocab
-from tradewinds.operators import forest, learn, model_choice, silver as sv
+from tradewinds.operators import forest, learn, model_choice, quality, silver as sv
 from tradewinds.plans import oracle, testdata as td
 from tradewinds.plans.catalog import query
 from tradewinds.plans.compare import real, steady
@@ -112,11 +113,21 @@ def select_best(spark, sf):
 
 # ---- classifier -------------------------------------------------------------
 
-@query("encode_features")
+def _one_hot_sql(column: str) -> str:
+    """A digit per level of a column, levels by frequency and then by name."""
+    return f"""(select string_agg(case when level = r.{column} then '1' else '0' end, '' order by n desc, level)
+        from (select {column} as level, count(*) as n from realized group by {column}))"""
+
+
+@query("encode_features", oracle.on_silver(f"""
+select fill_seq, win_flag, leverage * 1e0 as leverage, size_usd, sentiment_score * 1e0 as sentiment_score, hour * 1e0 as hour,
+       {" || ".join(_one_hot_sql(c) for c in learn.CATEGORICAL)} as one_hot from realized r"""))
 def encode_features(spark, sf):
     rows = learn.model_rows(silver(spark, sf))
-    return learn.encode_features(rows).transform(rows).select(
-        "fill_seq", "win_flag", F.col("features").cast("string").alias("features"))
+    vector = vector_to_array("features")
+    numbers = [vector[i].alias(c) for i, c in enumerate(learn.NUMERIC)]
+    flags = F.array_join(F.transform(F.slice(vector, len(learn.NUMERIC) + 1, 10_000), lambda v: v.cast("int").cast("string")), "")
+    return learn.encode_features(rows).transform(rows).select("fill_seq", "win_flag", *numbers, flags.alias("one_hot"))
 
 
 #: Folds, trees, depth and boosting rounds of the registered queries.
@@ -164,6 +175,15 @@ def train_compare(spark, sf):
     return spark.read.parquet(f"{chosen(spark, sf)}/comparison")
 
 
+@query("model_metrics")
+def model_metrics(spark, sf):
+    """Accuracy and F1 of every candidate as the run metrics keep them."""
+    metrics = quality.StepMetrics(spark)
+    for r in spark.read.parquet(f"{chosen(spark, sf)}/comparison").collect():
+        metrics.log_model(r["model"], r["accuracy"], r["f1_score"])
+    return metrics.model_table()
+
+
 @query("feature_importance")
 def feature_importance(spark, sf):
     return learn.feature_importance(winner(spark, sf))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tradewinds.functions import text as x
@@ -167,6 +168,23 @@ def lexicon_sentiment(spark, sf):
     return steady(scores(spark, sf), real=["sentiment_score", "confidence_score"])
 
 
+@query("batch_sentiment", oracle.on_news(f"""
+select article_id, {real('s')} as sentiment_score, {real('least(1e0, n / 5000)')} as confidence_score,
+       case when s > 0.15 then 'Bullish' when s < -0.15 then 'Bearish' else 'Neutral' end as sentiment_class
+from (select article_id, length(content_clean) * 1e0 as n,
+             (length(replace(content_clean, 'e', '**')) - length(replace(content_clean, 'a', '**'))) * 4e0 / greatest(1, length(content_clean)) as s from kept)"""))
+def batch_sentiment(spark, sf):
+    """The batch hook with a stand-in model, which weighs two letters."""
+
+    def model(texts):
+        chars = texts.str.len()
+        score = (texts.str.count("e") - texts.str.count("a")) * 4.0 / chars.clip(lower=1)
+        return pd.DataFrame({"sentiment_score": score, "confidence_score": (chars / 5000).clip(upper=1.0)})
+
+    out = news.batch_sentiment(kept(spark, sf), model)
+    return steady(out.select("article_id", "sentiment_score", "confidence_score", "sentiment_class"), real=["sentiment_score", "confidence_score"])
+
+
 @query("sentiment_class", oracle.on_news("select article_id, sentiment_class from scores"))
 def sentiment_class(spark, sf):
     return scores(spark, sf).select("article_id", "sentiment_class")
@@ -286,10 +304,8 @@ select source, coalesce(score, 60e0) as credibility, count(*) as articles
 from fx_articles left join credibility using (source) group by all""", oracle.ARTICLES, oracle.CREDIBILITY))
 def label_map_join(spark, sf):
     # label table joined to rows already counted per source; 60 for sources without a label
-    labels = spark.createDataFrame(list(td.CREDIBILITY.items()), "source string, score double")
-    counts = news.value_counts(td.articles(spark, sf), "source")
-    return counts.join(labels, "source", "left").select(
-        "source", F.coalesce("score", F.lit(60.0)).alias("credibility"), "articles")
+    labels = spark.createDataFrame(list(td.CREDIBILITY.items()), "source string, credibility double")
+    return news.with_label(news.value_counts(td.articles(spark, sf), "source"), labels, "source", "credibility", 60.0)
 
 
 @query("high_impact_articles", oracle.on_news(f"""

@@ -212,6 +212,16 @@ def equity_curve(spark, sf):
     return steady(curves.equity_curve(silver(spark, sf), ["account"]), coarse=CURVES)
 
 
+@query("global_equity_curve", oracle.on_silver(f"""
+select ts, fill_seq, {coarse('baseline_fixed')} as baseline_fixed, {real('ln(fixed_fractional_2pct)')} as ln_fixed, {real('ln(dynamic_sentiment_kelly)')} as ln_dynamic
+from curve""", "whole as (select * replace ('all' as account) from realized)", CURVE_CTE.replace("from realized", "from whole")))
+def global_equity_curve(spark, sf):
+    """One curve over the trades of all accounts; balances as logarithms, as they grow beyond any rounding."""
+    curve = curves.equity_curve(silver(spark, sf))
+    out = curve.select("ts", "fill_seq", "baseline_fixed", F.ln("fixed_fractional_2pct").alias("ln_fixed"), F.ln("dynamic_sentiment_kelly").alias("ln_dynamic"))
+    return steady(out, real=["ln_fixed", "ln_dynamic"], coarse=["baseline_fixed"])
+
+
 @query("latest_curve_points", oracle.on_silver(f"{CURVE_BODY} order by ts desc, fill_seq desc limit 100", CURVE_CTE))
 def latest_curve_points(spark, sf):
     return steady(curves.latest_curve_points(curves.equity_curve(silver(spark, sf), ["account"])), coarse=CURVES)
