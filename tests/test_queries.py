@@ -22,7 +22,8 @@ COMPARED = [
     "tail_risk_by_class", "risk_metrics_report", "rolling_var", "equity_curve", "drawdown_curve", "regime_rules",
     "trader_personas", "bias_prevalence", "clean_news", "jaccard_self_join", "lexicon_sentiment", "extract_entities",
     "impact_score", "sentiment_trends", "daily_brief", "data_quality_report", "trader_features", "classification_metrics",
-    "linear_attribution", "read_fills", "article_id",
+    "linear_attribution", "read_fills", "article_id", "sliding_risk", "risk_contribution", "bounded_sizes", "monthly_by_trader",
+    "encode_features", "stratified_folds", "value_at_risk", "expected_shortfall", "global_equity_curve", "schema_checks", "batch_sentiment",
 ]
 
 
@@ -94,9 +95,14 @@ def test_filters_reach_the_silver_table(spark, toy, tmp_path):
     assert "ReadSchema: struct<account:string,closed_pnl:double,is_closing_trade:boolean>" in text
 
 
-def test_behaviour_shuffles_once_by_account(spark):
+def test_behaviour_meets_accounts_in_blocks(spark):
+    """Trades are shuffled by (account, day) and by (account, block); by account alone only rows that are summed up already."""
     text = plan(behavior.trader_personas(silver(spark, SF)))
-    assert text.count("Exchange hashpartitioning(account") == 1
+    assert "hashpartitioning(_cell" in text and re.search(r"Exchange hashpartitioning\(account#\d+, _block#", text)
+    for line in text.splitlines():
+        if re.search(r"Exchange hashpartitioning\(account#\d+, \d+\)", line):
+            assert "closed_pnl" not in line
+    assert "SinglePartition" not in text
 
 
 def test_performance_is_one_aggregation(spark):
