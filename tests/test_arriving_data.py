@@ -38,6 +38,15 @@ def test_malformed_lines_stay_in_bronze(spark, tmp_path):
     assert readers.by_header(spark, str(empty), schemas.BRONZE_SENTIMENT).count() == 0
 
 
+def test_articles_that_are_no_json_stay_in_bronze(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{\n "article_id": "1",\n "title": "t"}')
+    (tmp_path / "b.json").write_text('[{"article_id": "2", "title": "u"},\n {"article_id": "3"}]')
+    (tmp_path / "c.json").write_text('{"article_id": "4", "title": ')
+    assert sorted(r["article_id"] for r in readers.read_articles(spark, str(tmp_path)).collect()) == ["1", "2", "3"]
+    broken = readers.read_bronze_articles(spark, str(tmp_path)).where("_corrupt_record is not null").select("article_id", "_corrupt_record").collect()
+    assert [r["_corrupt_record"] for r in broken] == ['{"article_id": "4", "title": ']
+
+
 def lines(pick, days, n):
     out = []
     for _ in range(n):

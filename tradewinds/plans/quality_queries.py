@@ -9,6 +9,7 @@ from tradewinds.operators import quality as q
 from tradewinds.plans import oracle
 from tradewinds.plans.catalog import query
 from tradewinds.plans.compare import real, steady
+from tradewinds.operators import silver as sv
 from tradewinds.plans.trade_queries import silver
 from tradewinds.session import scratch_path
 from tradewinds.sources.writers import write_table
@@ -105,11 +106,16 @@ def data_quality_report(spark, sf):
     return steady(q.data_quality_report(silver(spark, sf)), real=["value"])
 
 
-@query("run_metrics")
+@query("run_metrics", oracle.on_silver("""
+select 'silver' as step, count(*) as records_processed, true as timed from silver
+union all select 'realized', count(*), true from realized"""))
 def run_metrics(spark, sf):
+    """Rows of each step of a run; of its seconds only that they were taken, as they differ from run to run."""
     metrics = q.StepMetrics(spark)
     path = scratch_path(spark, "silver")
     with metrics.step("silver") as done:
         write_table(silver(spark, sf), path)
         done(spark.read.parquet(path))
-    return metrics.table()
+    with metrics.step("realized") as done:
+        done(sv.realized_trades(spark.read.parquet(path)))
+    return metrics.table().select("step", "records_processed", (F.col("execution_time_seconds") > 0).alias("timed"))

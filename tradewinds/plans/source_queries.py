@@ -30,18 +30,35 @@ def read_sentiment(spark, sf):
     return readers.read_sentiment(spark, path)
 
 
-@query("read_articles", oracle.sql("""
+ARTICLES_SQL = oracle.sql("""
 select cast(article_id as varchar) as article_id, title, content, source, author,
-       strftime(published_date, '%Y-%m-%dT%H:%M:%SZ') as published_date from fx_articles""", oracle.ARTICLES))
-def read_articles(spark, sf):
-    path = scratch_path(spark, "articles-json")
-    docs = td.articles(spark, sf).withColumns({
+       strftime(published_date, '%Y-%m-%dT%H:%M:%SZ') as published_date from fx_articles""", oracle.ARTICLES)
+
+
+def raw_articles(spark, sf):
+    return td.articles(spark, sf).withColumns({
         "article_id": F.col("article_id").cast("string"),
         "published_date": F.date_format("published_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")})
-    writers.write_articles(docs, path)
+
+
+@query("read_articles", ARTICLES_SQL)
+def read_articles(spark, sf):
+    path = scratch_path(spark, "articles-json")
+    writers.write_articles(raw_articles(spark, sf), path)
     return readers.read_articles(spark, path, multi_line=False).drop("url")
 
 
+@query("read_article_files", ARTICLES_SQL)
+def read_article_files(spark, sf):
+    """Objects over many lines, a few hundred to a file."""
+    path = scratch_path(spark, "articles-files")
+    docs = raw_articles(spark, sf)
+    bundles = docs.groupBy(F.expr("cast(article_id as bigint) div 250").alias("bundle")).agg(
+        F.to_json(F.collect_list(F.struct(*docs.columns)), {"pretty": "true"}).alias("value"))
+    bundles.repartition("bundle").write.partitionBy("bundle").text(path)
+    return readers.read_articles(spark, path).drop("url", "bundle")
+
+
 @query("read_silver", oracle.on_silver(f"""
 select month, count(*) as trades, {real('avg(roe)')} as avg_roe from silver group by month"""))
 def read_silver(spark, sf):

@@ -82,9 +82,18 @@ def read_sentiment(spark: SparkSession, path: str) -> DataFrame:
         "date", F.col("value").alias("sentiment_score"), F.col("classification").alias("sentiment_class"))
 
 
+def read_bronze_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Article JSON, one object or array of objects per file (``multi_line``) or one object per line.
+
+    What is no JSON, or holds a value of another type, is kept in ``_corrupt_record`` as it is.
+    """
+    schema = T.StructType([*schemas.ARTICLES, T.StructField("_corrupt_record", T.StringType())])
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+
+
 def read_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Article JSON: one object per file (``multi_line``) or one per line."""
-    return spark.read.schema(schemas.ARTICLES).option("multiLine", multi_line).json(path)
+    """The readable articles of ``read_bronze_articles``."""
+    return read_bronze_articles(spark, path, multi_line).where("_corrupt_record is null").drop("_corrupt_record")
 
 
 def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
