@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 #: The six ASCII characters that separate words: space and tab to carriage return.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -45,6 +45,14 @@ def tidy(run: Callable) -> Callable:
     return kept
 
 
+def bounded_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
+    """From now on batches that go to Python hold about ``limit`` bytes, besides their number of rows: texts differ in length.
+
+    What is computed per batch, and the buffers on both sides, stay in proportion.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
