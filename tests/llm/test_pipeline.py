@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -61,3 +62,15 @@ def test_pipeline_takes_empty_and_odd_documents(spark):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, out, SF)
         assert out.count() == n
+
+
+def test_columns_that_clash_with_results_come_back_as_they_were(spark):
+    pick = random.Random(2)
+    passage = "".join(pick.choice("abcdefgh ") for _ in range(300))
+    rows = [(1, passage, "a", 7, None), (2, "x" + passage, "b", 8, b"z"), (3, None, "c", 9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string, n_bytes int, kept binary")
+    out = corpus_pipeline.cut_repeats(spark, df, "")
+    assert out.schema == df.schema
+    got = {r.doc_id: (r.spans, r.n_bytes, r.kept) for r in out.collect()}
+    assert got == {1: ("a", 7, None), 2: ("b", 8, bytearray(b"z")), 3: ("c", 9, None)}
+    assert {r.doc_id: r.text for r in out.collect()} == {1: passage, 2: "x", 3: None}
