@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradewinds import schemas
-from tradewinds.operators import quality as q
+from tradewinds.operators import quality as q, silver as sv
 from tradewinds.plans import oracle
 from tradewinds.plans.catalog import query
 from tradewinds.plans.compare import real, steady
-from tradewinds.operators import silver as sv
 from tradewinds.plans.trade_queries import silver
 from tradewinds.session import scratch_path
 from tradewinds.sources.writers import write_table
