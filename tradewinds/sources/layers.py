@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tradewinds.session import shared_dir
 
 
+#: To be raised when the definition of a stored layer changes, so that layers of older code are not read.
+DEFINITION = 1
+
+
 def _place(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -29,7 +33,7 @@ def input_state(spark: SparkSession, paths: Sequence[str]) -> str:
 
 def layer_path(spark: SparkSession, name: str, inputs: Sequence[str]) -> str:
     """Where the layer ``name`` over tables at the paths ``inputs`` lies, in the shared folder, for their present state."""
-    return f"{shared_dir(spark).rstrip('/')}/layers/{name}-{input_state(spark, inputs)}"
+    return f"{shared_dir(spark).rstrip('/')}/layers/{name}-{DEFINITION}-{input_state(spark, inputs)}"
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
