@@ -145,7 +145,7 @@ select article_id, title, content_clean, array_to_string(tokens, '|') as tokens,
 where article_id not in (select id from dropped) or (select count(*) from e6) > 0""",
     oracle.ARTICLES, oracle.TOKENS, oracle.PAIRS, oracle.GREEDY))
 def clean_news(spark, sf):
-    return near_dup.drop_near_duplicates(cleaned(spark, sf)).select(
+    return kept(spark, sf).select(
         "article_id", "title", "content_clean", joined("tokens").alias("tokens"), "source", "author", "published_date")
 
 
