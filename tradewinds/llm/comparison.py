@@ -76,7 +76,7 @@ def conversations_sql() -> str:
         from best t join (select conv_id, max(i) i from faults group by conv_id) z on z.conv_id is not distinct from t.conv_id and z.i = t.i
         join ins e on e.p = t.b.q and e.q in (0, 3) group by t.conv_id)
     select c.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated,
-           coalesce(illegal, 0) illegal, coalesce(f.cost, 0) as "cost", coalesce(f.audit, '') audit, sha256(coalesce(array_to_string(f.lines, chr(10)), '')) repaired_sha256
+           coalesce(illegal, 0) illegal, coalesce(f.cost, 0)::bigint as "cost", coalesce(f.audit, '') audit, sha256(coalesce(array_to_string(f.lines, chr(10)), '')) repaired_sha256
     from (select distinct conv_id from conversations) c left join counts n on n.conv_id is not distinct from c.conv_id
     left join ends x on x.conv_id is not distinct from c.conv_id"""
 
