@@ -26,7 +26,7 @@ select {", ".join(f"a.{k}" for k in keys)}, trade_count, {pnl('total_pnl')} as t
        {real('profit_factor')} as profit_factor, active_days, {real('avg_leverage')} as avg_leverage, worst_loss, best_win, {pnl('max_drawdown')} as max_drawdown
 from (select {by}, count(*) as trade_count, sum(closed_pnl) as total_pnl, avg(closed_pnl) as avg_pnl, stddev_samp(closed_pnl) as std_pnl,
              avg(win_flag) as win_rate, sum(size_usd) as volume, avg(roe) as avg_roe, stddev_samp(roe) as volatility,
-             sum(closed_pnl) filter (closed_pnl > 0) / nullif(-sum(closed_pnl) filter (closed_pnl < 0), 0) as profit_factor,
+             coalesce(sum(closed_pnl) filter (closed_pnl > 0), 0) / nullif(-sum(closed_pnl) filter (closed_pnl < 0), 0) as profit_factor,
              count(distinct date) as active_days, avg(leverage) as avg_leverage, min(closed_pnl) as worst_loss, max(closed_pnl) as best_win
       from realized group by {by}) a
 join (select {by}, min(cum - peak) as max_drawdown from (
