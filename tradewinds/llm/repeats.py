@@ -14,6 +14,9 @@ from tradewinds.session import cut_lineage
 #: Bytes of a string that counts as repeated, and of the gram that anchors it.
 LENGTH, GRAM = 100, 20
 
+#: Bytes of texts that a task works through at a time; some ten 8-byte numbers stand for each.
+PIECE = 1 << 19
+
 
 def block_hashes(data: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit hash of every run of ``length`` bytes (of those that do not fit at the end: nothing useful)."""
@@ -99,7 +102,7 @@ def anchored(df: DataFrame) -> DataFrame:
         for batch in batches:
             ids = np.asarray(batch.column(0))
             parts = []
-            for begin, part in pieces(batch.column(1)):
+            for begin, part in pieces(batch.column(1), PIECE):
                 owner, start, count, place, gram, whole = passages(*utf8(part))
                 parts.append((gram.view(np.int64), whole.view(np.int64), ids[begin + owner], start << 16 | count << 8 | place))
             if not parts:
@@ -344,7 +347,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         for batch in batches:
             texts, found = batch.column(width), batch.column(width + 1)
-            for first, part in pieces(texts):
+            for first, part in pieces(texts, PIECE):
                 sizes, gone, spans, kept = [], [], [], []
                 for i, text in enumerate(part.to_pylist()):
                     raw = text.encode()
