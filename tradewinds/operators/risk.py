@@ -78,8 +78,11 @@ def risk_metrics_report(silver: DataFrame, group_col: str = "sentiment_class", o
 
 
 def rolling_var(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER, pnl: str = "closed_pnl",
-                n: int = 30, alpha: float = 0.95, rows: int = BLOCK_ROWS) -> DataFrame:
-    """VaR of the last ``n`` rows; NULL for the first n-1; the whole-series VaR when the series is shorter than ``n``."""
+                n: int = 30, alpha: float = 0.95, rows: int = BLOCK_ROWS, whole_if_short: bool = True) -> DataFrame:
+    """VaR of the last ``n`` rows; NULL for the first n-1; the whole-series VaR when the series is shorter than ``n``.
+
+    That last value knows the rows after a trade. Without ``whole_if_short`` a short series has NULL only.
+    """
     p = F.lit(r.tail_probability(alpha))
 
     def compute(trades: DataFrame, part: list[str]) -> DataFrame:
@@ -92,7 +95,7 @@ def rolling_var(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER
             "_var", F.percentile(pnl, p).over(frame))
         return with_frame.withColumn("_last", F.last("_var").over(whole_ordered)).withColumn(
             "rolling_var",
-            F.when(F.col("_size") < n, F.col("_last")).when(F.col("_in_frame") == n, F.col("_var")),
+            F.when(F.lit(whole_if_short) & (F.col("_size") < n), F.col("_last")).when(F.col("_in_frame") == n, F.col("_var")),
         ).drop("_in_frame", "_size", "_var", "_last")
 
     return bounded_frame(df, keys, order, n - 1, compute, rows)
