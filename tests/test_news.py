@@ -116,6 +116,17 @@ def test_pairs_against_brute_force(spark):
     assert got.keys() == brute.keys() and all(got[k] == pytest.approx(v) for k, v in brute.items())
 
 
+def test_only_likely_pairs_are_verified(spark, monkeypatch):
+    """Sets that share rare tokens but are far from similar are ruled out by their sketches, not by their tokens."""
+    counted = []
+    scored = near_dup._scored
+    monkeypatch.setattr(near_dup, "_scored", lambda c, s, t: (counted.append(c.count()), scored(c, s, t))[1])
+    rng = random.Random(5)
+    rows = [(i, [f"r{i % 10}"] + rng.sample([f"w{j}" for j in range(3000)], 60 + 5 * (i % 4))) for i in range(200)]
+    assert kept_ids(make(spark, rows)) == set(range(200))
+    assert sum(counted) < 20
+
+
 def test_article_ids_upsert(spark):
     raw = spark.createDataFrame(
         [("old", "c", "u1", "2026-01-01"), ("new", "c", "u1", "2026-01-02"), ("x", "c", "u2", "2026-01-01")],
