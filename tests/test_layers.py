@@ -59,3 +59,14 @@ def test_other_queries_without_the_packages_of_the_optional_operators(monkeypatc
     assert len(again.queries()) > 100 and not any(q.startswith("op1") for q in again.queries())
     monkeypatch.undo()
     sys.modules["__spark_entry__"] = entry
+
+
+def test_silver_is_stored_once_and_equals_the_built_one(spark):
+    from tradewinds.plans.trade_queries import built_silver, silver
+
+    sf = "/root/testdata/sf0.001"
+    got, want = silver(spark, sf), built_silver(spark, sf)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    files = [f for f in got.inputFiles() if "/layers/" in f]
+    assert any("/trades-" in f for f in files) and any("/fill_days-" in f for f in files)
