@@ -43,6 +43,7 @@ def trader_features(silver: DataFrame) -> DataFrame:
 
 def trader_segments(features: DataFrame, k: int = 4, seeds: Sequence[int] = range(42, 52)) -> DataFrame:
     """K-means personas; fewer accounts than clusters, or a degenerate fit, leave every account in the rest group."""
+    features = cut_lineage(features)  # one row per account, read by every step below
     clustered = best_kmeans(features, SEGMENT_FEATURES, k, seeds) if features.limit(k).count() == k else None
     rest = "Conservative / Tactical Retail"
     if clustered is None:
