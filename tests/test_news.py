@@ -127,6 +127,17 @@ def test_only_likely_pairs_are_verified(spark, monkeypatch):
     assert sum(counted) < 20
 
 
+def test_frequent_tokens_make_no_rows(spark):
+    """Sets that share only tokens too far back for a similar pair are not even counted, however many hold them."""
+    common = [f"c{j}" for j in range(76)]
+    df = make(spark, [(i, [f"own{i}_{j}" for j in range(24)] + common) for i in range(60)])
+    sets = near_dup.article_sets(df)
+    prefix = near_dup.prefixes(near_dup.signatures(sets, near_dup.copies_of(sets), 0.7))
+    sides = prefix.alias("a").join(prefix.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.id") < F.col("b.id")) & near_dup._may_match(0.7))
+    assert sides.count() == 0
+    assert kept_ids(df) == set(range(60))
+
+
 def test_article_ids_upsert(spark):
     raw = spark.createDataFrame(
         [("old", "c", "u1", "2026-01-01"), ("new", "c", "u1", "2026-01-02"), ("x", "c", "u2", "2026-01-01")],
