@@ -107,6 +107,27 @@ def test_packing_documents(spark):
     assert check_packing(op7_nnls_packing(spark, SF).collect(), ids_of, 2048) < 0.02
 
 
+def test_words_are_split_like_the_library():
+    """Letter classes, contractions, long words and special tokens; all texts of a slice are split at once."""
+    rng = random.Random(3)
+    texts = ["", "'s", "''s a'start 'rex 'llama don't I'VE we'll they're 'd'm't", "x²y 3¼12 Ⱥ İ", "<|startoftext|> <| a", "a" * 700 + " b",
+             "=" * 600, "a\x85b\xa0c\x00d\x1c", "ÉtÉ —…'€5", "'", "a'", " \n\t "]
+    texts += ["".join(rng.choice("abslrvemtd'' ''\"-. 12²éÉ\nLSTRV") for _ in range(rng.randrange(60))) for _ in range(500)]
+    library, tokenizer = Tokenizer.from_file(WORD), packing.WordTokenizer(WORD)
+    for packed, text in zip(tokenizer.encode(texts), texts, strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_remembered_words_stay_small(monkeypatch):
+    """A remembered word costs some numbers, not objects."""
+    tokenizer = packing.WordTokenizer(WORD)
+    assert tokenizer.encode(["one two two", "two three"]) == tokenizer.encode(["one two two", "two three"])
+    assert len(tokenizer.known) == len(tokenizer.begin) == len(tokenizer.size) == 3
+    monkeypatch.setattr(packing, "REMEMBERED", 2)
+    tokenizer.encode(["four"])
+    assert len(tokenizer.known) == 1
+
+
 def test_packing_odd_rows(odd):
     out = packing.pack(packing.cut(odd, WORD, window=16), window=16)
     rows = out.collect()

@@ -11,12 +11,14 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tradewinds.llm.common import pieces, tidy
+from tradewinds.llm.common import codes, mix, pieces, powers, tidy
 
 #: Tokens of a sequence, and the id that ends a document.
 WINDOW, END_ID = 2048, 1
 #: Words remembered within a task before the memory is emptied.
 REMEMBERED = 400_000
+#: Text bytes that are split at a time (a longer text stands alone).
+SLICE_BYTES = 1 << 20
 #: Combinations of the plan: partners tried for each length in combinations of three and four.
 PARTNERS = 4
 #: Sweeps of the least-squares solver.
@@ -27,12 +29,14 @@ class WordTokenizer:
     """Ids of a lower-casing word tokenizer, each word encoded by the tokenizers library once.
 
     Texts of common letters, which need no normalising but lower case, are split
-    here and their distinct words encoded together. Texts with other letters or with special tokens go
-    to the library whole.
+    here, all texts of a slice at once, and their distinct words encoded together. Texts with other letters, with
+    special tokens or with longer words than ``LONG`` go to the library whole. Words are compared by 64-bit hashes.
     """
 
-    #: How this kind of tokenizer splits (fixed value).
+    #: How this kind of tokenizer splits (fixed value): ``_split`` does the same by the class of each letter.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: Letters with a class (lower-case forms of common ones reach beyond these), and the longest word that is compared by its hash.
+    LETTERS, LONG = 0x3000, 512
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -41,42 +45,111 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.split = regex.compile(self.PATTERN)
-        self.rare = regex.compile(r"[^\u0000-\u012f\u0131-\u02ff\u2010-\u2027\u20ac]|<\|")
+        every = "".join(map(chr, range(self.LETTERS)))
+        self.kind = np.full(self.LETTERS, 3, dtype=np.uint8)  # 0 separates, 1 is a letter, 2 a number, 3 anything else
+        for value, pattern in ((0, r"\s"), (1, r"\p{L}"), (2, r"\p{N}")):
+            self.kind[[m.start() for m in regex.finditer(pattern, every)]] = value
+        self.common = np.zeros(self.LETTERS, dtype=bool)
+        self.common[[m.start() for m in regex.finditer(r"[\u0000-\u012f\u0131-\u02ff\u2010-\u2027\u20ac]", every)]] = True
+        self.codes, self.powers = codes(3, self.LETTERS), powers(self.LONG)
         size = self.library.get_vocab_size()
         self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known: dict[str, bytes] = {}
+        self._forget()
 
-    def _learn(self, words: list[str]) -> None:
+    def _forget(self) -> None:
+        """Hashes of the words seen, sorted; where in ``ids`` those of each begin, and how many there are."""
+        self.known, self.begin, self.size = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def _library(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        found, begins, sizes, n = [self.ids], [], [], len(self.ids)
         for at in range(0, len(words), 2000):
             part = words[at:at + 2000]
-            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            ids = self._library(" ".join(part))
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part):
                 raise ValueError("a word did not end in one word-end token")
-            raw, begin = ids.tobytes(), 0
-            for word, stop in zip(part, (4 * stops).tolist(), strict=True):
-                self.known[word] = raw[begin:stop]
-                begin = stop
+            found.append(ids)
+            begins.append(np.r_[0, stops[:-1]] + n)
+            sizes.append(np.diff(stops, prepend=0))
+            n += len(ids)
+        if words:
+            place = np.searchsorted(self.known, hashes)
+            self.known = np.insert(self.known, place, hashes)
+            self.begin, self.size = np.insert(self.begin, place, np.concatenate(begins)), np.insert(self.size, place, np.concatenate(sizes))
+            self.ids = np.concatenate(found)
+
+    def _rare(self, texts: list[str], stop: np.ndarray) -> np.ndarray:
+        """Numbers of the texts that hold other than common letters, or what may begin a special token."""
+        letter = np.frombuffer("\n".join(texts).encode("utf-32-le"), dtype="<u4")
+        odd = ~self.common[np.minimum(letter, self.LETTERS - 1)]
+        odd[:-1] |= (letter[:-1] == ord("<")) & (letter[1:] == ord("|"))
+        return np.unique(np.searchsorted(stop, np.flatnonzero(odd), side="right"))
+
+    def _split(self, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, class of every letter) of the words of lower-cased texts that end in two separators."""
+        kind = self.kind[letter]
+        start = kind != 0
+        start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        quote = np.flatnonzero((letter[:-1] == ord("'")) & start[:-1] & (kind[1:] == 1))
+        one, two = letter[quote + 1], letter[quote + 2]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        start[quote[short | long] + 1] = False
+        after = np.r_[quote[short] + 2, quote[long] + 3]
+        start[after] |= kind[after] == 1
+        cut = np.flatnonzero(start | (kind == 0))
+        first = start[cut]
+        return cut[first], np.append(cut[1:], len(letter))[first], kind
+
+    def _hashes(self, letter: np.ndarray, start: np.ndarray, end: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        at = np.arange(len(letter))
+        begin = np.zeros(len(letter), dtype=np.int64)
+        begin[start] = start
+        value = self.codes[letter]
+        value[kind == 0] = 0
+        value *= self.powers[np.where(kind != 0, at - np.maximum.accumulate(begin), 0)]
+        return mix(np.add.reduceat(value, start) + (end - start).astype(np.uint64))
+
+    def _common(self, texts: list[str]) -> list[bytes | None]:
+        """The same for texts of common letters; None for one with a longer word than is compared by its hash."""
+        text = "\n".join(texts).lower() + "\n\n"
+        stop = np.cumsum([len(t) + 1 for t in texts])
+        letter = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+        start, end, kind = self._split(letter)
+        owner = np.searchsorted(stop, start, side="right")
+        long = np.unique(owner[end - start > self.LONG])
+        if len(long):
+            gone = set(long.tolist())
+            rest = iter(self._common([t for i, t in enumerate(texts) if i not in gone]) if len(gone) < len(texts) else [])
+            return [None if i in gone else next(rest) for i in range(len(texts))]
+        if not len(start):
+            return [b""] * len(texts)
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        distinct, where, number = np.unique(self._hashes(letter, start, end, kind), return_index=True, return_inverse=True)
+        new = np.ones(len(distinct), dtype=bool)
+        if len(self.known):
+            new = self.known[np.minimum(np.searchsorted(self.known, distinct), len(self.known) - 1)] != distinct
+        self._learn(distinct[new], [text[i:j] for i, j in zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)])
+        place = np.searchsorted(self.known, distinct)[number]
+        size = self.size[place]
+        total = np.r_[0, np.cumsum(size)]
+        ids = self.ids[np.repeat(self.begin[place] - total[:-1], size) + np.arange(total[-1])]
+        bounds = total[np.searchsorted(owner, np.arange(len(texts) + 1))].tolist()
+        return [ids[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text."""
-        split: list[list[str] | str] = []
-        for text in texts:
-            if self.rare.search(text):
-                split.append(text)
-            else:
-                split.append(self.split.findall(text.lower()))
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new: set[str] = set()
-        for words in split:
-            if isinstance(words, list):
-                new.update(words)
-        self._learn(list(new.difference(self.known)))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) if isinstance(words, list)
-                else np.array(self.library.encode(words, add_special_tokens=False).ids, dtype="<u4").tobytes() for words in split]
+        out: list[bytes | None] = [None] * len(texts)
+        rare = set(self._rare(texts, np.cumsum([len(t) + 1 for t in texts])).tolist())
+        common = [i for i in range(len(texts)) if i not in rare]
+        for i, packed in zip(common, self._common([texts[i] for i in common]) if common else [], strict=True):
+            out[i] = packed
+        return [self._library(text).tobytes() if packed is None else packed for text, packed in zip(texts, out, strict=True)]
 
 
 def cut(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -93,7 +166,7 @@ def cut(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         tokenizer = WordTokenizer(path)
         for batch in batches:
-            for first, part in pieces(batch.column(1)):
+            for first, part in pieces(batch.column(1), SLICE_BYTES):
                 rows, starts, totals, ids = [], [], [], []
                 for i, packed in enumerate(tokenizer.encode(part.to_pylist())):
                     packed += end
