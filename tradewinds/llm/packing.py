@@ -18,7 +18,7 @@ WINDOW, END_ID = 2048, 1
 #: Words remembered within a task before the memory is emptied.
 REMEMBERED = 400_000
 #: Text bytes that are split at a time (a longer text stands alone).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Combinations of the plan: partners tried for each length in combinations of three and four.
 PARTNERS = 4
 #: Sweeps of the least-squares solver.
