@@ -105,3 +105,8 @@ def test_sizes_shrink_to_the_limit(spark, trades):
         assert r["bounded_size"] == (pytest.approx(r["size_usd"] / 2) if r["known_var"] is not None else r["size_usd"])
         cap = 2.0 if r["sentiment_score"] > 75 else 5.0 if r["sentiment_score"] < 30 else 1e9
         assert r["bounded_leverage"] == min(float(r["leverage"]), cap)
+
+
+def test_a_frame_is_sorted_once(trades):
+    plan = sliding.sliding_risk(trades, ["account"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(") == 1

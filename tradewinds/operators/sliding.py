@@ -10,13 +10,18 @@ from tradewinds.functions import risk as r
 from tradewinds.operators.ordered import BLOCK_ROWS, ORDER, NTH, bounded_frame
 
 
-def _tail_mean(values: Column, share: float) -> Column:
-    """Mean of the values at or below the interpolated percentile of a short sorted array."""
-    place = F.lit(float(share)) * (F.size(values) - 1)
-    low, high = F.element_at(values, (F.floor(place) + 1).cast("int")), F.element_at(values, (F.ceil(place) + 1).cast("int"))
+def _with_tail_mean(rows: DataFrame, values: str, share: float, out: str) -> DataFrame:
+    """Adds the mean of the values at or below the interpolated percentile of a short array column.
+
+    The sorted array and its tail are columns of their own: inside one
+    expression they would be made again for every element that reads them.
+    """
+    rows = rows.withColumn("_sorted", F.sort_array(values))
+    place = F.lit(float(share)) * (F.size("_sorted") - 1)
+    low, high = F.element_at("_sorted", (F.floor(place) + 1).cast("int")), F.element_at("_sorted", (F.ceil(place) + 1).cast("int"))
     cut = low + (high - low) * (place - F.floor(place))
-    tail = F.filter(values, lambda v: v <= cut)
-    return F.aggregate(tail, F.lit(0.0), lambda a, v: a + v) / F.size(tail)
+    rows = rows.withColumn("_cut", cut).withColumn("_tail", F.filter("_sorted", lambda v: v <= F.col("_cut")))
+    return rows.withColumn(out, F.aggregate("_tail", F.lit(0.0), lambda a, v: a + v) / F.size("_tail")).drop("_sorted", "_cut", "_tail")
 
 
 def _sliding_drawdown(rows: DataFrame, part: Sequence[str], order: Sequence[str], value: str, n: int, out: str) -> DataFrame:
@@ -61,6 +66,7 @@ def sliding_risk(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDE
             "_full": size == n, "_mean": F.avg(x).over(frame), "_vol": F.coalesce(F.stddev_samp(x).over(frame), F.lit(0.0)),
             "_down": F.when((size >= 2) & (falls >= 2), F.sqrt(F.sum(below * below).over(frame) / (size - 1))).otherwise(0.0),
             "_values": F.collect_list(F.col(pnl)).over(frame)})
+        out = _with_tail_mean(out, "_values", tail, "_shortfall").drop("_values")
         out = _sliding_drawdown(out, part, order, roe, n, "sliding_max_drawdown")
         full = F.col("_full")
         year = F.sqrt(F.lit(365.0))
@@ -68,7 +74,7 @@ def sliding_risk(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDE
             "sliding_volatility": F.when(full, F.col("_vol")), "sliding_downside": F.when(full, F.col("_down")),
             "sliding_sharpe": F.when(full, F.when(F.col("_vol") > 0, F.col("_mean") / F.col("_vol") * year).otherwise(0.0)),
             "sliding_sortino": F.when(full, F.when(F.col("_down") > 0, F.col("_mean") / F.col("_down") * year).otherwise(0.0)),
-            "sliding_shortfall": F.when(full, _tail_mean(F.sort_array("_values"), tail)),
-        }).drop("_full", "_mean", "_vol", "_down", "_values")
+            "sliding_shortfall": F.when(full, F.col("_shortfall")),
+        }).drop("_full", "_mean", "_vol", "_down", "_shortfall")
 
     return bounded_frame(df, keys, order, n - 1, compute, rows)
