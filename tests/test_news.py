@@ -1,3 +1,4 @@
+import os
 import random
 
 import pandas as pd
@@ -215,3 +216,23 @@ def test_topic_model_labels_every_article(spark):
     assert {r["topic_cluster_id"] for r in out} <= {0, 1, 2, 3}
     assert {r["topic_theme"] for r in out} <= {*td.THEMES, "Macroeconomic Events"}
     assert len({(r["topic_cluster_id"], r["topic_theme"]) for r in out}) == len({r["topic_cluster_id"] for r in out})
+
+
+def test_token_sets_are_stored_as_places_in_a_dictionary(spark):
+    from tradewinds.session import cut_lineage
+
+    # half of the tokens are frequent, the others come from more than 1 MB of hashes
+    number = lambda i: F.xxhash64("id", i).bitwiseAND(F.lit((1 << 40) - 1)) % F.when(i % 2 == 0, 500).otherwise(200_000)
+    rows = spark.range(120_000, numPartitions=1).select("id", F.transform(F.sequence(F.lit(0), F.lit(29)), lambda i: F.xxhash64(number(i))).alias("tokens"))
+    sizes = []
+    for options in ({}, near_dup.DICTIONARY):
+        files = cut_lineage(rows, **options).inputFiles()
+        sizes.append(sum(os.path.getsize(f.removeprefix("file:").replace("///", "/")) for f in files))
+    assert sizes[1] < 0.6 * sizes[0]
+
+
+def test_the_kept_articles_are_stored_without_their_raw_text(spark):
+    from tradewinds.plans import news_queries
+
+    kept_articles = news_queries.kept(spark, "/root/testdata/sf0.001")
+    assert not {"content", "title_clean"} & set(kept_articles.columns) and {"title", "content_clean", "tokens", "source", "author", "published_date"} <= set(kept_articles.columns)
