@@ -104,3 +104,35 @@ def test_documents(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in op4_parity_sketch_join(spark, sf).collect()), key=str)
     assert got == brute(rows, 3, 90)
+
+
+def test_cells_with_the_same_members_stay_once(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows = []
+    for i in range(30):  # pairs of long texts that share most of some 60 cells
+        base = rng.choices(vocabulary, k=600)
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:-1] + ["end"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cells = jaccard_join.buckets(df, 3, 90, "doc_id", "text").collect()
+    members = {}
+    for r in cells:
+        members.setdefault(r.key, set()).add(r.id)
+        assert r.leader == min(r.id, r.id ^ 1)
+    assert {frozenset(m) for m in members.values()} == {frozenset((2 * i, 2 * i + 1)) for i in range(30)}
+    assert len(cells) < 6 * len(rows)  # once, and what goes over the edges of batches
+
+
+def test_links_beside_refuted_ones_are_found(spark, monkeypatch):
+    """All members of the only cell look alike by their sketches; none is linked with the least one, two are with each other."""
+    rng = random.Random(9)
+    words = [[f"{d}w{i}" for i in range(200)] for d in "abc"]
+    near = list(words[1])
+    near[rng.randrange(200)] = "other"
+    rows = [(i + 1, " ".join(w)) for i, w in enumerate([words[0], words[1], words[2], near])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sketches = jaccard_join.parity_sketches
+    monkeypatch.setattr(jaccard_join, "parity_sketches", lambda *a: sketches(*a).selectExpr("id", "n", f"cast(repeat('0', {jaccard_join.SKETCH_BITS // 8}) as binary) as sketch"))
+    monkeypatch.setattr(jaccard_join, "buckets", lambda *a: spark.createDataFrame([(7, i, 1) for i in range(1, 5)], "key long, id long, leader long"))
+    got = sorted(tuple(r) for r in jaccard_join.near_duplicates(df, 3, 90).collect())
+    assert got == brute(rows, 3, 90) and got[3] == (4, 198, 2)
