@@ -117,6 +117,23 @@ def test_pairs_against_brute_force(spark):
     assert got.keys() == brute.keys() and all(got[k] == pytest.approx(v) for k, v in brute.items())
 
 
+def test_every_copy_is_in_its_pairs(spark):
+    """All pairs of articles, not of token sets: copies pair with each other and with everything that their set resembles."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(12)]
+    rows = [(i, rng.sample(base, rng.randrange(6, 13))) for i in rng.sample(range(1000), 90)] + [(2000, []), (2001, [])]
+    size = {}
+    for _, t in rows:
+        size[frozenset(t)] = size.get(frozenset(t), 0) + 1
+    assert max(size.values()) > 3
+    sets = sorted((i, frozenset(t)) for i, t in rows if t)
+    brute = {(i, j): (len(a & b) / len(a | b), size[a], size[b]) for n, (i, a) in enumerate(sets) for j, b in sets[n + 1:]
+             if len(a & b) / len(a | b) > 0.7}
+    got = near_dup.article_pairs(make(spark, rows)).collect()
+    assert len(got) == len(brute) and any(v[0] == 1 for v in brute.values())
+    assert {(r["first"], r["second"]): (r["jaccard"], r["first_copies"], r["second_copies"]) for r in got} == brute
+
+
 def test_only_likely_pairs_are_verified(spark, monkeypatch):
     """Sets that share rare tokens but are far from similar are ruled out by their sketches, not by their tokens."""
     counted = []
