@@ -145,6 +145,33 @@ def test_only_likely_pairs_are_verified(spark, monkeypatch):
     assert sum(counted) < 20
 
 
+def test_sets_that_share_early_tokens_meet_in_similar_slices_only(spark, monkeypatch):
+    """Nearly all pairs of these sets share some of their first tokens; none of them is written as a candidate."""
+    counted = []
+    likely = near_dup._likely
+    monkeypatch.setattr(near_dup, "_likely", lambda c, s, t: (counted.append(c.count()), likely(c, s, t))[1])
+    rng = random.Random(9)
+    rows = [(i, rng.sample([f"w{j}" for j in range(1500)], 180 + 10 * (i % 5))) for i in range(300)]
+    assert kept_ids(make(spark, rows)) == set(range(300))
+    assert sum(counted) < 100
+
+
+def test_families_of_all_sizes_in_many_rounds(spark, monkeypatch):
+    """Sets of all classes and their guests; few are met in a round, and a token goes on in the next batch."""
+    monkeypatch.setattr(near_dup, "FIRST", 1)
+    monkeypatch.setattr(near_dup, "GROWTH", 2)
+    monkeypatch.setattr(near_dup, "TOGETHER", 300)
+    rng = random.Random(4)
+    rows = [(i, rng.sample([f"v{j}" for j in range(12)], rng.randrange(1, 8))) for i in range(60)]
+    for i in range(60, 400):
+        size, change = 40 * 2 ** (i % 6), 0.02 + 0.03 * (i % 5)
+        rows.append((i, [f"f{size}_{j}" for j in range(size) if rng.random() > change] + [f"x{rng.randrange(900)}" for _ in range(rng.randrange(1 + size // 8))]))
+    assert kept_ids(make(spark, rows)) == greedy(rows)
+    sets = [(i, frozenset(t)) for i, t in rows]
+    brute = {(i, j) for n, (i, a) in enumerate(sets) for j, b in sets[n + 1:] if len(a & b) / len(a | b) > 0.7}
+    assert {(r["first"], r["second"]) for r in near_dup.article_pairs(make(spark, rows)).collect()} == brute
+
+
 def test_frequent_tokens_make_no_rows(spark):
     """Sets that share only tokens too far back for a similar pair are not even counted, however many hold them."""
     common = [f"c{j}" for j in range(76)]
