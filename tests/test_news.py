@@ -156,6 +156,11 @@ def test_sets_that_share_early_tokens_meet_in_similar_slices_only(spark, monkeyp
     assert sum(counted) < 100
 
 
+def test_articles_are_tokenised_once_for_their_sets(spark):
+    text = near_dup.article_sets(news.clean_articles(td.articles(spark, SF)))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("regexp_extract_all(") == 1
+
+
 def test_families_of_all_sizes_in_many_rounds(spark, monkeypatch):
     """Sets of all classes and their guests; few are met in a round, and a token goes on in the next batch."""
     monkeypatch.setattr(near_dup, "FIRST", 1)
